@@ -1,8 +1,10 @@
 """Queries of this subpackage, by name."""
 
 from gristmill.llm.bpe import op8_bpe
+from gristmill.llm.simhash import op4_simhash
 
 QUERIES = {
+    "op4_simhash": op4_simhash,
     "op8_bpe": op8_bpe,
 }
 ORACLES: dict[str, str] = {}
