@@ -1,10 +1,12 @@
 """Queries of this subpackage, by name."""
 
 from gristmill.llm.bpe import op8_bpe
+from gristmill.llm.ctw import op9_ctw
 from gristmill.llm.langid import op2_langid
 from gristmill.llm.simhash import op4_simhash
 
 QUERIES = {
+    "op9_ctw": op9_ctw,
     "op2_langid": op2_langid,
     "op4_simhash": op4_simhash,
     "op8_bpe": op8_bpe,
