@@ -22,7 +22,6 @@ import mmap
 import os
 import re
 import tempfile
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +31,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gristmill.functions.buffers import distinct_words, pieces
 from gristmill.plans.store import discard, materialize
 
 # Fixed value: the pre-tokenizer's pattern of the byte-level vocabularies.
@@ -54,8 +54,9 @@ SPLIT_LATIN = re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[{_LETTER}]+| ?[{_NUMBER}]+|
 SPLIT_NEWER = regex.compile(PATTERN.replace(r"[^\s\p{L}\p{N}]", rf"(?:[^\s\p{{L}}\p{{N}}]|[{NEWER}])").replace(r"\p{L}+|", rf"[\p{{L}}--[{NEWER}]]+|").replace(r"\p{N}+|", rf"[\p{{N}}--[{NEWER}]]+|"), regex.V1)
 HAS_NEWER = regex.compile(f"[{NEWER}]")
 SAFE_CUT = regex.compile(r"(?<=\S) (?=\S)")
+_NO_PAIR = 1 << 62
 SEGMENT_CHARS = 1 << 19
-MEMO_WORDS = 150_000
+MEMO_WORDS = 600_000
 
 
 def byte_letters() -> dict[int, str]:
@@ -76,10 +77,10 @@ class Vocabulary:
         ids = model["vocab"]
         self.token_bytes: dict[int, bytes] = {i: bytes(back[c] for c in s) for s, i in ids.items() if all(c in back for c in s)}
         self.byte_ids = [ids[c] for _, c in sorted(byte_letters().items())]
-        self.pairs: dict[tuple[int, int], tuple[int, int]] = {}
+        self.pairs: dict[int, int] = {}  # left << 32 | right: rank << 32 | merged
         for rank, m in enumerate(model["merges"]):
             a, b = m.split(" ") if isinstance(m, str) else m
-            self.pairs[ids[a], ids[b]] = (rank, ids[a + b])
+            self.pairs[ids[a] << 32 | ids[b]] = rank << 32 | ids[a + b]
         self.special = {x["content"]: x["id"] for x in spec.get("added_tokens", [])}
         self.token_bytes |= {i: s.encode() for s, i in self.special.items()}
         self.special_split = regex.compile("|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True))) if self.special else None
@@ -89,16 +90,18 @@ class Vocabulary:
         ids = [self.byte_ids[b] for b in word]
         if len(ids) > 48:
             return self._merge_long(ids)
-        pairs = self.pairs
-        while len(ids) > 1:
-            best, where = None, -1
-            for i in range(len(ids) - 1):
-                p = pairs.get((ids[i], ids[i + 1]))
-                if p is not None and (best is None or p[0] < best[0]):
-                    best, where = p, i
-            if best is None:
-                break
-            ids[where : where + 2] = [best[1]]
+        if len(ids) < 2:
+            return tuple(ids)
+        get, none = self.pairs.get, _NO_PAIR
+        ranks = [get(a << 32 | b, none) for a, b in itertools.pairwise(ids)]
+        while ranks and (best := min(ranks)) != none:
+            i = ranks.index(best)
+            ids[i : i + 2] = [best & 0xFFFFFFFF]
+            del ranks[i]
+            if i < len(ranks):
+                ranks[i] = get(ids[i] << 32 | ids[i + 1], none)
+            if i:
+                ranks[i - 1] = get(ids[i - 1] << 32 | ids[i], none)
         return tuple(ids)
 
     def _merge_long(self, ids: list[int]) -> tuple[int, ...]:
@@ -109,8 +112,8 @@ class Vocabulary:
 
         def offer(i: int) -> None:
             j = after[i]
-            if j >= 0 and (p := pairs.get((ids[i], ids[j]))):
-                heapq.heappush(heap, (p[0], i, ids[i], ids[j]))
+            if j >= 0 and (p := pairs.get(ids[i] << 32 | ids[j])) is not None:
+                heapq.heappush(heap, (p, i, ids[i], ids[j]))
 
         for i in range(n - 1):
             offer(i)
@@ -119,7 +122,7 @@ class Vocabulary:
             j = after[i] if live[i] else -1
             if j < 0 or ids[i] != a or ids[j] != b:
                 continue
-            ids[i] = pairs[a, b][1]
+            ids[i] = pairs[a << 32 | b] & 0xFFFFFFFF
             live[j] = False
             after[i] = after[j]
             if after[j] >= 0:
@@ -314,26 +317,18 @@ def _codec(vocabulary_path: str, lexicon_name: str | None) -> Codec:
 
 
 def frequent_words(docs: DataFrame, text: str = "text", most: int = 32_768) -> list[str]:
-    """At most ``most`` of the corpus's most frequent pre-tokens, counted over every text.
+    """The pre-tokens of at most ``most`` of the corpus's most frequent words, counted over every text.
 
     The cut falls between classes of like frequency, so it does not depend on the order of rows.
     """
 
     def count(batches):
-        held: Counter = Counter()
         for batch in batches:
-            for t in batch.column(0):
-                t = t.as_py()
-                if t:
-                    for part in segments(t):
-                        held.update(words_of(part))
-                if len(held) > 300_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.string()), pa.array(held.values(), pa.int64())], ["word", "n"])
-                    held = Counter()
-        if held:
-            yield pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.string()), pa.array(held.values(), pa.int64())], ["word", "n"])
-
-    counts = docs.select(F.col(text).alias("t")).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+            for _, _, data, offsets in pieces(batch.column(0)):
+                for words, n in distinct_words(data, offsets):
+                    yield pa.RecordBatch.from_arrays([words.cast(pa.string()), pa.array(n)], ["word", "n"])
+
+    counts = docs.select(F.col(text).cast("string").alias("t")).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     counts = materialize(counts.where("n > 1 and octet_length(word) <= 64"), "words")
     level = F.floor(F.log2("n") * 16).alias("level")
     levels = counts.groupBy(level).agg(F.count("*").alias("words")).orderBy(F.desc("level")).collect()
@@ -345,7 +340,7 @@ def frequent_words(docs: DataFrame, text: str = "text", most: int = 32_768) -> l
         least = row["level"]
     found = [] if least is None else [r["word"] for r in counts.where(level >= least).select("word").collect()]
     discard(counts)
-    return found
+    return sorted({part for word in found for part in words_of(" " + word)})
 
 
 def ship_lexicon(spark: SparkSession, vocabulary_path: str, words: list[str]) -> str:
@@ -353,6 +348,8 @@ def ship_lexicon(spark: SparkSession, vocabulary_path: str, words: list[str]) ->
     vocabulary = Vocabulary(vocabulary_path)
     blob = compile_lexicon({w.encode(): vocabulary.merge(w.encode()) for w in words})
     name = f"lexicon-{hashlib.sha256(blob).hexdigest()[:24]}.fst"
+    if any(x.endswith("/" + name) for x in spark.sparkContext.listFiles):
+        return name
     path = os.path.join(tempfile.mkdtemp(prefix="lexicon-"), name)
     with open(path, "wb") as f:
         f.write(blob)
