@@ -3,10 +3,12 @@
 from gristmill.llm.bpe import op8_bpe
 from gristmill.llm.ctw import op9_ctw
 from gristmill.llm.langid import op2_langid
+from gristmill.llm.packing import op5_packing
 from gristmill.llm.simhash import op4_simhash
 from gristmill.llm.suffix import op6_suffix
 
 QUERIES = {
+    "op5_packing": op5_packing,
     "op6_suffix": op6_suffix,
     "op9_ctw": op9_ctw,
     "op2_langid": op2_langid,
