@@ -1,6 +1,7 @@
 """Queries of this subpackage, by name."""
 
 from gristmill.llm.bpe import op8_bpe
+from gristmill.llm.chroma import op7_chroma
 from gristmill.llm.ctw import op9_ctw
 from gristmill.llm.langid import op2_langid
 from gristmill.llm.nndescent import op10_nndescent
@@ -11,6 +12,7 @@ from gristmill.llm.suffix import op6_suffix
 from gristmill.llm.urlfilter import op1_urlfilter
 
 QUERIES = {
+    "op7_chroma": op7_chroma,
     "op3_quality": op3_quality,
     "op1_urlfilter": op1_urlfilter,
     "op10_nndescent": op10_nndescent,
