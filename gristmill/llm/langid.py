@@ -191,6 +191,24 @@ def predict(docs: DataFrame, model: ByteCnn | None, key: str = "doc_id", text: s
     return judged.mapInArrow(run, f"{key} {kind}, lang_pred string, score double")
 
 
+def keep(docs: DataFrame, model: ByteCnn | None, text: str = "text", least: float = 0.4) -> DataFrame:
+    """The rows of ``docs`` whose text has a letter and a language of score ``least`` or more; row by row, without a join."""
+    letters = docs.where(F.col(text).cast("string").rlike(r"\p{L}"))
+    if model is None:
+        return letters
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    place = docs.columns.index(text)
+
+    def run(batches):
+        for batch in batches:
+            score = np.zeros(batch.num_rows)
+            for at, end, data, offsets in pieces(batch.column(place)):
+                score[at:end] = score_texts(shared.value, data, offsets).max(1)
+            yield batch.filter(pa.array(score >= least))
+
+    return letters.mapInArrow(run, docs.schema)
+
+
 def op2_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
     model = train(docs, ~held_out())

@@ -231,7 +231,7 @@ def components(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle
 def keep_one(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
     """The rows of ``docs`` that stand for their component: those with its smallest key, once each, and rows without a key."""
     kept = components(docs, key, **options).where(F.col(key) == F.col("component_id")).select(key).distinct()
-    whole = docs.where(F.col(key).isNotNull()).join(kept, key, "left_semi")
+    whole = docs.where(F.col(key).isNotNull()).join(kept, key, "left_semi").dropDuplicates([key])
     return whole.unionByName(docs.where(F.col(key).isNull())).select(docs.columns)
 
 
