@@ -242,12 +242,15 @@ def weigh(contexts: Contexts, row: np.ndarray, byte: np.ndarray, n: np.ndarray,
                 p[live] = own[cur[live]] * kt_one[cur[live]] + (1 - own[cur[live]]) * p[live]
                 cur[live] = parent[cur[live]]
             ones_p[:, low : low + width] = p
-    table = np.zeros((k, 256), np.float32)
     values = np.arange(256)
-    for bit in range(8):
-        p = ones_p[:, (1 << bit) | (values >> (8 - bit))]
-        table += np.log(np.where(values >> (7 - bit) & 1, p, 1 - p))
-    return table
+    for at in range(0, k, 4096):  # in place: bits' probabilities become bytes' logarithms
+        bits = ones_p[at : at + 4096]
+        row = np.zeros_like(bits)
+        for bit in range(8):
+            p = bits[:, (1 << bit) | (values >> (8 - bit))]
+            row += np.log(np.where(values >> (7 - bit) & 1, p, 1 - p))
+        ones_p[at : at + 4096] = row
+    return ones_p
 
 
 def train(docs: DataFrame, text: str = "text", max_contexts: int = MAX_CONTEXTS, depth: int = DEPTH) -> Model:
