@@ -56,7 +56,7 @@ HAS_NEWER = regex.compile(f"[{NEWER}]")
 SAFE_CUT = regex.compile(r"(?<=\S) (?=\S)")
 _NO_PAIR = 1 << 62
 SEGMENT_CHARS = 1 << 19
-MEMO_WORDS = 600_000
+MEMO_WORDS = 400_000
 
 
 def byte_letters() -> dict[int, str]:
@@ -243,12 +243,14 @@ class _Memo(dict):
         super().__init__()
         self.vocabulary, self.lexicon = vocabulary, lexicon
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
+    def of(self, word: str) -> tuple[int, ...]:
         raw = word.encode()
         ids = self.lexicon.find(raw) if self.lexicon else None
-        if ids is None:
-            ids = self.vocabulary.merge(raw)
-        if len(raw) <= 64:
+        return self.vocabulary.merge(raw) if ids is None else ids
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        ids = self.of(word)
+        if len(word) <= 64:
             if len(self) >= MEMO_WORDS:
                 self.clear()
             self[word] = ids
@@ -276,26 +278,62 @@ def segments(text: str, chars: int = SEGMENT_CHARS) -> Iterator[str]:
     yield text[at:] if at else text
 
 
+class _Shown(dict):
+    """A word's ids in decimal, joined by commas; emptied when full."""
+
+    def __init__(self, codec: Codec):
+        super().__init__()
+        self.codec = codec
+
+    def __missing__(self, word: str) -> str:
+        ids = self.codec.memo.of(word)
+        if len(self) >= MEMO_WORDS:
+            self.clear()
+        shown = self[word] = ",".join(map(str, ids))
+        return shown
+
+
+class _Back(dict):
+    """The bytes that a word's ids decode to; emptied when full."""
+
+    def __init__(self, codec: Codec):
+        super().__init__()
+        self.codec = codec
+
+    def __missing__(self, word: str) -> bytes:
+        ids = map(int, self.codec.shown[word].split(","))
+        if len(self) >= MEMO_WORDS:
+            self.clear()
+        raw = self[word] = b"".join(map(self.codec.bytes_of, ids))
+        return raw
+
+
 class Codec:
     """Encodes and decodes texts exactly as the vocabulary's library does."""
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon | None = None):
         self.vocabulary, self.memo = vocabulary, _Memo(vocabulary, lexicon)
         self.bytes_of = vocabulary.token_bytes.__getitem__
+        self.shown, self.back = _Shown(self), _Back(self)
 
-    def encode_parts(self, text: str) -> Iterator[list[int]]:
+    def word_parts(self, text: str) -> Iterator[tuple[bool, list[str]]]:
+        """(special, pre-tokens) of each stretch of the text, in order."""
         split = self.vocabulary.special_split
         at = 0
         for m in split.finditer(text) if split else ():
             yield from self._plain(text[at : m.start()])
-            yield [self.vocabulary.special[m[0]]]
+            yield True, [m[0]]
             at = m.end()
         yield from self._plain(text[at:] if at else text)
 
-    def _plain(self, text: str) -> Iterator[list[int]]:
+    def _plain(self, text: str) -> Iterator[tuple[bool, list[str]]]:
         if text:
             for part in segments(text):
-                yield list(itertools.chain.from_iterable(map(self.memo.__getitem__, words_of(part))))
+                yield False, words_of(part)
+
+    def encode_parts(self, text: str) -> Iterator[list[int]]:
+        for special, words in self.word_parts(text):
+            yield [self.vocabulary.special[w] for w in words] if special else list(itertools.chain.from_iterable(map(self.memo.__getitem__, words)))
 
     def encode(self, text: str) -> list[int]:
         return list(itertools.chain.from_iterable(self.encode_parts(text)))
@@ -388,17 +426,20 @@ def round_trip_digests(docs: DataFrame, vocabulary_path: str, lexicon_name: str
 
     def digest(batches):
         codec = _codec(vocabulary_path, lexicon_name)
-        numeral = [str(i) for i in range(max(codec.vocabulary.token_bytes) + 1)].__getitem__
+        shown, back, special = codec.shown.__getitem__, codec.back.__getitem__, codec.vocabulary.special
         for batch in batches:
             keys, rows = batch.column(0), []
             for t in batch.column(1):
                 t = t.as_py()
                 n, ids_sha, text_sha = 0, hashlib.sha256(), hashlib.sha256()
-                for part in codec.encode_parts(t) if t else ():
-                    if part:
-                        ids_sha.update(("," * (n > 0) + ",".join(map(numeral, part))).encode())
-                        text_sha.update(codec.decode(part).encode())
-                        n += len(part)
+                for is_special, words in codec.word_parts(t) if t else ():
+                    if not words:
+                        continue
+                    ids = ",".join([str(special[w]) for w in words] if is_special else map(shown, words))
+                    raw = b"".join([codec.bytes_of(special[w]) for w in words] if is_special else map(back, words))
+                    ids_sha.update((("," if n else "") + ids).encode())
+                    text_sha.update(raw.decode("utf-8", "replace").encode())
+                    n += ids.count(",") + 1
                 rows.append((n, ids_sha.hexdigest(), text_sha.hexdigest()))
             n, a, b = zip(*rows, strict=True) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays([keys, pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())], [key, "n_tokens", "ids_sha256", "decoded_sha256"])
