@@ -114,7 +114,7 @@ def merge_lists(lists: DataFrame, k: int) -> DataFrame:
     return lists.groupBy("node").agg(F.collect_list("near").alias("lists")).mapInArrow(run, f"node long, near {NEAR}")
 
 
-def blocks(nodes: DataFrame, table: int, bits: int, leaf: int, k: int) -> DataFrame:
+def blocks(nodes: DataFrame, table: int, bits: int, leaf: int, k: int, parts: int) -> DataFrame:
     """(node, near) from one set of projections."""
 
     def project(batches):
@@ -143,7 +143,6 @@ def blocks(nodes: DataFrame, table: int, bits: int, leaf: int, k: int) -> DataFr
         if rest is not None and rest.num_rows:
             yield out(rest)
 
-    parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keyed = nodes.select("node", "code").mapInArrow(project, "node long, code binary, sign long, p float")
     dealt = keyed.repartitionByRange(parts, "sign", "p", "node").sortWithinPartitions("sign", "p", "node")
     return dealt.mapInArrow(compare, f"node long, near {NEAR}")
@@ -196,9 +195,10 @@ def build(nodes: DataFrame, k: int = NEIGHBOURS, back: int = REVERSE, tables: in
     """(node, near): the neighbour graph."""
     n = nodes.count()
     bits = min(60, max(0, int(np.ceil(np.log2(max(n, 1) / leaf)))))
+    parts = max(1, min(int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions")), n // (4 * leaf)))
     start = None
     for table in range(tables):
-        one = blocks(nodes, table, bits, leaf, k)
+        one = blocks(nodes, table, bits, leaf, k, parts)
         start = one if start is None else start.unionByName(one)
     graph = materialize(merge_lists(start, k), "graph")
     for _ in range(rounds if n > leaf else 0):
