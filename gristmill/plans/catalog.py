@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gristmill.plans import event_queries, text_queries
+from gristmill.plans import dataset_queries, event_queries, text_queries
 
-QUERIES: dict = text_queries.Q | event_queries.Q
-ORACLES: dict[str, str] = text_queries.O | event_queries.O
+QUERIES: dict = text_queries.Q | event_queries.Q | dataset_queries.Q
+ORACLES: dict[str, str] = text_queries.O | event_queries.O | dataset_queries.O
