@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gristmill.functions import text as T
 from gristmill.operators import evaluate, extract, funnel
+from gristmill.sources import connectors
 from gristmill.sources.tables import table
 
 Q: dict = {}
@@ -238,3 +239,8 @@ def synth_repair(spark, sf):
 @query("synth_cap_runs")
 def synth_cap_runs(spark, sf):
     return _docs(spark, sf).select("doc_id", T.cap_runs("text").alias("text"))
+
+
+@query("page_links", "WITH l AS (SELECT page_id, unnest(list_distinct(regexp_extract_all(html, 'href=[\"'']([^\"''#]+)[\"'']', 1))) AS url FROM pages) SELECT page_id, url FROM l")
+def page_links(spark, sf):
+    return connectors.listing_links(table(spark, sf, "pages").select("page_id", "html")).select("page_id", "url")
