@@ -83,3 +83,19 @@ def volume_anomalies(days: DataFrame, key: str, day: str, count: str, least: int
     low, high = F.greatest(F.lit(0.0), F.col("centre") - width * F.col("scale")), F.col("centre") + width * F.col("scale")
     kind = F.when(F.col(count) > high, "spike").when(F.col(count) < low, "drop")
     return d.withColumn("kind", kind).where("kind is not null").select(key, day, count, "kind")
+
+
+SEVERITY = ("info", "warning", "error", "critical")
+
+
+def converge_alerts(alerts: DataFrame) -> DataFrame:
+    """(kind, dataset, severity, n, last_at): one alert per kind and dataset, as severe as its worst."""
+    level = F.array_position(F.array(*(F.lit(s) for s in SEVERITY)), F.col("severity"))
+    g = alerts.groupBy("kind", "dataset").agg(F.max(level).cast("int").alias("_l"), F.count("*").alias("n"), F.max("at").alias("last_at"))
+    return g.select("kind", "dataset", F.get(F.array(*(F.lit(s) for s in SEVERITY)), F.col("_l") - 1).alias("severity"), "n", "last_at")
+
+
+def prometheus(metrics: DataFrame) -> DataFrame:
+    """(line) of the text format, from (name, labels map<string,string>, value)."""
+    pairs = F.array_sort(F.transform(F.map_entries("labels"), lambda e: F.concat(e["key"], F.lit('="'), F.regexp_replace(e["value"], r'(["\\])', r"\\$1"), F.lit('"'))))
+    return metrics.select(F.concat(F.col("name"), F.when(F.size("labels") > 0, F.concat(F.lit("{"), F.array_join(pairs, ","), F.lit("}"))).otherwise(""), F.lit(" "), F.col("value").cast("string")).alias("line"))

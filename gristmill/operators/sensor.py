@@ -168,3 +168,19 @@ def multivariate(pivoted: DataFrame, group: str, device: str, order: str, channe
 
     kind = {f.name: f.dataType.simpleString() for f in pivoted.schema}
     return pivoted.groupBy(group).applyInPandas(run, f"{device} {kind[device]}, {order} {kind[order]}, t2 double, spe double, flagged boolean, top_channel string")
+
+
+def envelopes(w: DataFrame, keys: list[str], ref_frac: float = 0.3, margin: float = 3.0, min_windows: int = 5, max_violation: float = 0.05) -> DataFrame:
+    """(keys, lo, hi, n_ref, violation): median -+ margin * 1.4826 * MAD of the readings of each group's earliest windows.
+
+    Groups with too few windows, no spread, or more than ``max_violation`` of the later readings outside are left out.
+    """
+    order = Window.partitionBy(*keys).orderBy("window_start")
+    size = w.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") >= min_windows)
+    d = w.join(size, keys).withColumn("_k", F.row_number().over(order)).withColumn("_ref", F.col("_k") <= F.ceil(F.col("_n") * ref_frac))
+    x = d.select(*keys, "_ref", F.explode("readings").alias("x"))
+    c = x.where("_ref").groupBy(*keys).agg(F.median("x").alias("_c"), F.count("*").alias("n_ref"))
+    s = x.where("_ref").join(c, keys).groupBy(*keys, "_c", "n_ref").agg((1.4826 * F.median(F.abs(F.col("x") - F.col("_c")))).alias("_s")).where("_s > 0")
+    b = s.select(*keys, (F.col("_c") - margin * F.col("_s")).alias("lo"), (F.col("_c") + margin * F.col("_s")).alias("hi"), "n_ref")
+    late = x.where("not _ref").join(b, keys).groupBy(*keys).agg(F.avg(((F.col("x") < F.col("lo")) | (F.col("x") > F.col("hi"))).cast("double")).alias("violation"))
+    return b.join(late, keys, "left").where(F.coalesce("violation", F.lit(0.0)) <= max_violation)

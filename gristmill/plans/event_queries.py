@@ -263,3 +263,15 @@ def minhash_greedy(spark, sf):
     members, links = dedup.near_links(sigs, bands=16, threshold=0.65)
     reps = dedup.greedy_keep(members.select(F.col("rep").alias("id")).distinct(), links)
     return members.join(reps.withColumnRenamed("id", "rep"), "rep").select("id", (F.col("kept") & (F.col("id") == F.col("rep"))).alias("kept"))
+
+
+@query("alerts", "SELECT event_type AS kind, CASE WHEN user_id % 2 = 0 THEN 'even' ELSE 'odd' END AS dataset, CASE max(CASE WHEN value < 5 THEN 1 WHEN value < 50 THEN 2 ELSE 3 END) WHEN 1 THEN 'info' WHEN 2 THEN 'warning' ELSE 'error' END AS severity, count(*) AS n, max(ts) AS last_at FROM events GROUP BY ALL")
+def alerts(spark, sf):
+    e = table(spark, sf, "events")
+    v = F.col("value")
+    return lake.converge_alerts(e.select(F.col("event_type").alias("kind"), F.when(F.pmod("user_id", F.lit(2)) == 0, "even").otherwise("odd").alias("dataset"), F.when(v < 5, "info").when(v < 50, "warning").otherwise("error").alias("severity"), F.col("ts").alias("at")))
+
+
+@query("sensor_envelopes")
+def sensor_envelopes(spark, sf):
+    return sensor.envelopes(windows(spark, sf).groupBy("channel", "window_start").agg(F.flatten(F.collect_list("readings")).alias("readings")), ["channel"], max_violation=0.5)

@@ -119,3 +119,14 @@ def test_multivariate(spark):
     df = pd.DataFrame(x, columns=list("abcd")).assign(kind="k", device=1, at=range(100))
     out = sensor.multivariate(spark.createDataFrame(df), "kind", "device", "at", list("abcd")).toPandas().sort_values("at")
     assert out.flagged[90:].all() and out.flagged[:90].mean() < 0.1 and (out.top_channel[90:] == "c").all()
+
+
+def test_envelopes_and_alerts(spark):
+    rng = np.random.default_rng(0)
+    rows = [("d", "a", k, [float(x) for x in rng.normal(10, 1, 50)]) for k in range(20)] + [("d", "b", k, [1.0, 1.0]) for k in range(20)] + [("d", "c", k, [float(x) for x in rng.normal(k * 5, 1, 50)]) for k in range(20)]
+    got = {r["channel"]: r for r in sensor.envelopes(_windows(spark, rows), ["channel"]).collect()}
+    assert set(got) == {"a"} and 6 < got["a"]["lo"] < 8 and 12 < got["a"]["hi"] < 14
+    a = spark.createDataFrame([("k", "x", "info", 1), ("k", "x", "error", 2), ("k", "y", "warning", 3)], "kind string, dataset string, severity string, at int")
+    assert {(r["dataset"], r["severity"], r["n"]) for r in lake.converge_alerts(a).collect()} == {("x", "error", 2), ("y", "warning", 1)}
+    m = spark.createDataFrame([("up", {"b": '2"', "a": "1"}, 1.5), ("n", {}, 2.0)], "name string, labels map<string,string>, value double")
+    assert sorted(r[0] for r in lake.prometheus(m).collect()) == ["n 2.0", 'up{a="1",b="2\\""} 1.5']
