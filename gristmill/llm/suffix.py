@@ -207,6 +207,7 @@ def across_borders(open_: DataFrame, key: str) -> DataFrame:
     """The same judgement for groups that touch a border, wherever their rows lie."""
     rows = open_.select(key, "place", "first", "last", "lead", "run")
     runs = rows.groupBy("lead", "run").agg(F.count("*").alias("copies"), F.min(F.struct(key, "place")).alias("one"))
+    runs = materialize(runs, "border-runs")  # joined from a table of its own, a run's rows may be split over tasks
     kinds = runs.groupBy("lead").agg(F.count("*").alias("kinds"))
     told = rows.join(runs, ["lead", "run"]).join(kinds, "lead").where("copies > 1 or kinds > 1")
     leads = F.struct(key, "place").eqNullSafe(F.col("one"))
