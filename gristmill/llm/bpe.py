@@ -56,7 +56,7 @@ HAS_NEWER = regex.compile(f"[{NEWER}]")
 SAFE_CUT = regex.compile(r"(?<=\S) (?=\S)")
 _NO_PAIR = 1 << 62
 SEGMENT_CHARS = 1 << 19
-MEMO_WORDS = 400_000
+MEMO_WORDS = 250_000
 
 
 def byte_letters() -> dict[int, str]:
@@ -236,6 +236,23 @@ class Lexicon:
         return None if i < 0 else tuple(self.ids[self.starts[i] : self.starts[i + 1]])
 
 
+class _TwoGenerations(dict):
+    """A cache of bounded size: when it is full it becomes the older generation, whose words are looked up before they are computed again."""
+
+    def __init__(self):
+        super().__init__()
+        self.older: dict = {}
+
+    def put(self, word: str, value):
+        if len(word) > 64:
+            return value
+        if len(self) >= MEMO_WORDS:
+            self.older = dict(self)
+            self.clear()
+        self[word] = value
+        return value
+
+
 class _Memo(dict):
     """Ids by word: lexicon first, else merged; emptied when full."""
 
@@ -278,34 +295,28 @@ def segments(text: str, chars: int = SEGMENT_CHARS) -> Iterator[str]:
     yield text[at:] if at else text
 
 
-class _Shown(dict):
-    """A word's ids in decimal, joined by commas; emptied when full."""
+class _Shown(_TwoGenerations):
+    """A word's ids in decimal, joined by commas."""
 
     def __init__(self, codec: Codec):
         super().__init__()
         self.codec = codec
 
     def __missing__(self, word: str) -> str:
-        ids = self.codec.memo.of(word)
-        if len(self) >= MEMO_WORDS:
-            self.clear()
-        shown = self[word] = ",".join(map(str, ids))
-        return shown
+        known = self.older.get(word)
+        return self.put(word, ",".join(map(str, self.codec.memo.of(word))) if known is None else known)
 
 
-class _Back(dict):
-    """The bytes that a word's ids decode to; emptied when full."""
+class _Back(_TwoGenerations):
+    """The bytes that a word's ids decode to."""
 
     def __init__(self, codec: Codec):
         super().__init__()
         self.codec = codec
 
     def __missing__(self, word: str) -> bytes:
-        ids = map(int, self.codec.shown[word].split(","))
-        if len(self) >= MEMO_WORDS:
-            self.clear()
-        raw = self[word] = b"".join(map(self.codec.bytes_of, ids))
-        return raw
+        known = self.older.get(word)
+        return self.put(word, b"".join(map(self.codec.bytes_of, map(int, self.codec.shown[word].split(",")))) if known is None else known)
 
 
 class Codec:
