@@ -258,11 +258,13 @@ def text_minhash(spark, sf):
 def minhash_greedy(spark, sf):
     from gristmill.plans.store import materialize
 
-    d = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text").where(F.length("text") >= 8)
-    sigs = materialize(dedup.signatures(d, num_perm=128, prefix_bytes=1 << 20), "signatures")
+    every = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")
+    compared = F.coalesce(F.length("text") >= 8, F.lit(False))  # the reference compares no shorter texts, and keeps them
+    sigs = materialize(dedup.signatures(every.where(compared), num_perm=128), "signatures")
     members, links = dedup.near_links(sigs, bands=16, threshold=0.65)
     reps = dedup.greedy_keep(members.select(F.col("rep").alias("id")).distinct(), links)
-    return members.join(reps.withColumnRenamed("id", "rep"), "rep").select("id", (F.col("kept") & (F.col("id") == F.col("rep"))).alias("kept"))
+    found = members.join(reps.withColumnRenamed("id", "rep"), "rep").select("id", (F.col("kept") & (F.col("id") == F.col("rep"))).alias("kept"))
+    return found.unionByName(every.where(~compared).select("id", F.lit(True).alias("kept")))
 
 
 @query("alerts", "SELECT event_type AS kind, CASE WHEN user_id % 2 = 0 THEN 'even' ELSE 'odd' END AS dataset, CASE max(CASE WHEN value < 5 THEN 1 WHEN value < 50 THEN 2 ELSE 3 END) WHEN 1 THEN 'info' WHEN 2 THEN 'warning' ELSE 'error' END AS severity, count(*) AS n, max(ts) AS last_at FROM events GROUP BY ALL")
