@@ -122,15 +122,26 @@ def fingerprint(samples: np.ndarray, rate: int = RATE) -> np.ndarray:
 
 def best_offset(a: np.ndarray, b: np.ndarray) -> tuple[int, int, float]:
     """(offset of b against a, votes, share of differing bits over the overlap) at the offset with most equal integers."""
-    order = np.argsort(b, kind="stable")
-    lo, hi = np.searchsorted(b[order], a, "left"), np.searchsorted(b[order], a, "right")
-    i = np.repeat(np.arange(len(a)), hi - lo)
-    if not len(i):
+    shared = np.intersect1d(a, b)
+    if not len(shared):
         return 0, 0, 1.0
-    j = order[np.repeat(lo, hi - lo) + np.arange(len(i)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo)]
-    offsets, votes = np.unique(j - i, return_counts=True)
-    top = np.flatnonzero(votes == votes.max())
-    at = int(offsets[top[np.argmin(np.abs(offsets[top]))]])
+    size = len(a) + len(b) - 1
+    votes = np.zeros(size, np.int64)
+    ia, ib = np.flatnonzero(np.isin(a, shared)), np.flatnonzero(np.isin(b, shared))
+    ia, ib = ia[np.argsort(a[ia], kind="stable")], ib[np.argsort(b[ib], kind="stable")]
+    cut = lambda x: np.append(np.searchsorted(x, shared), len(x)).tolist()
+    ca, cb = cut(a[ia]), cut(b[ib])
+    for k in range(len(shared)):
+        i, j = ia[ca[k] : ca[k + 1]], ib[cb[k] : cb[k + 1]]
+        if len(i) * len(j) <= 64 * size:
+            for at in range(0, len(i), max(1, (1 << 20) // len(j))):
+                np.add.at(votes, (j[None] - i[at : at + max(1, (1 << 20) // len(j)), None] + len(a) - 1).ravel(), 1)
+        else:  # held long on both sides: a correlation, not all pairs
+            x, y = np.zeros(len(a)), np.zeros(len(b))
+            x[len(a) - 1 - i], y[j] = 1, 1
+            votes += np.rint(np.fft.irfft(np.fft.rfft(x, 2 * size) * np.fft.rfft(y, 2 * size), 2 * size)[:size]).astype(np.int64)
+    offsets = np.flatnonzero(votes == votes.max()) - (len(a) - 1)
+    at = int(offsets[np.argmin(np.abs(offsets))])
     return at, int(votes.max()), error_at(a, b, at)
 
 
@@ -175,12 +186,12 @@ def _classes_and_pairs(prints: DataFrame, is_query, key: str, min_votes: int, ma
     heads = materialize(heads.where(F.size("print") > 0), "classes")
     classes = rows.join(heads.select("sum", "class_id"), "sum", "left").select(key, F.coalesce("class_id", F.col(key)).alias("class_id"), "print", "is_query")
     steps = heads.select("class_id", "asked", F.posexplode("print").alias("at", "value"))
-    # runs of equal integers vote once per class and value on either side, so a common value stays linear in the recordings
-    index = steps.groupBy("value", "class_id").agg(F.max("asked").alias("asked"), F.min("at").alias("at"))
-    left = index.where("asked").select("value", F.col("class_id").alias("a"), F.col("at").alias("at_a"))
-    right = index.select("value", F.col("class_id").alias("b"), F.col("at").alias("at_b"))
-    votes = left.join(right, "value").where("a <> b").groupBy("a", "b").agg(F.count("*").alias("shared"))
-    likely = votes.where(F.col("shared") >= min_votes)
+    # at one offset a value cannot vote more often than it occurs on either side; per class and value one row, so a common value stays linear in the recordings
+    index = steps.groupBy("value", "class_id").agg(F.max("asked").alias("asked"), F.count("*").alias("n"))
+    left = index.where("asked").select("value", F.col("class_id").alias("a"), F.col("n").alias("n_a"))
+    right = index.select("value", F.col("class_id").alias("b"), F.col("n").alias("n_b"))
+    bound = left.join(right, "value").where("a <> b").groupBy("a", "b").agg(F.sum(F.least("n_a", "n_b")).alias("bound"))
+    likely = bound.where(F.col("bound") >= min_votes)
     joined = likely.join(heads.select(F.col("class_id").alias("a"), F.col("print").alias("pa")), "a").join(heads.select(F.col("class_id").alias("b"), F.col("print").alias("pb")), "b")
 
     def measure(batches):
