@@ -8,6 +8,8 @@ from gristmill.functions import text as T
 from gristmill.operators import dataset, funnel
 from gristmill.sources.tables import table
 
+PROMPT_CHARS = 2000  # the reference's limit (tuning/judge_data.py)
+
 Q: dict = {}
 O: dict[str, str] = {}
 
@@ -78,4 +80,4 @@ def sessions(spark, sf):
 @query("sft_rows")
 def sft_rows(spark, sf):
     d = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id")
-    return d.select(F.col("doc_id").alias("id"), F.concat(F.lit("Is this text fit for training?\n"), F.substring(T.strip("text"), 1, 500)).alias("prompt"), F.when(F.col("quality") == 1, '{"score": 9}').otherwise('{"score": 1}').alias("answer"))
+    return d.select(F.col("doc_id").alias("id"), F.concat(F.lit("Is this text fit for training?\n"), F.substring(T.strip("text"), 1, PROMPT_CHARS)).alias("prompt"), F.when(F.col("quality") == 1, '{"score": 9}').otherwise('{"score": 1}').alias("answer"))
