@@ -46,3 +46,8 @@ def discard(df: DataFrame) -> None:
     sc = df.sparkSession.sparkContext
     target = sc._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that nothing refers to any more; for loops that shuffle much."""
+    spark.sparkContext._jvm.System.gc()
