@@ -4,15 +4,18 @@ Audio (16-bit mono WAV bytes) is cut into overlapping frames; each frame's spect
 the twelve pitch classes. Sixteen filters, rectangles compared by way of an integral image over
 frames and pitch classes, are quantised to two bits each, Gray-coded and packed into one 32-bit
 integer per step. Recordings are aligned by an inverted index of these integers: matches vote for
-an offset, and at the offset with most votes the share of differing bits decides.
+an offset, and at the offset with most votes the share of differing bits decides. The queries are
+indexed in blocks of bounded size, against which every recording is held.
 
 Recordings with equal fingerprints are one class, so copies never multiply in the index; an
 alignment is between a query's class and another, with the members beside it.
 
 Edge cases: null, empty or undecodable audio has no fingerprint (an empty array) and aligns with
-nothing; audio shorter than a filter has none either; silence fingerprints alike and aligns at
-offset 0; repeated rows are members of one class; an empty table gives an empty result; extra
-columns are ignored.
+nothing; audio shorter than a filter has none either; silences of any length fingerprint alike and
+align, as do held tones; of offsets with equally many votes the one nearest to 0, then the smaller,
+counts; of alignments with equal errors the one with the smaller class is the nearest; very long
+recordings are fingerprinted 256 frames at a time; repeated rows are members of one class; rows
+without an id take no part; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,6 +36,9 @@ HOP = 256
 WIDTH = 8  # steps under a filter
 MIN_VOTES = 3
 MAX_ERROR = 0.3
+BLOCK_STEPS = 500_000
+_ROWS = 256
+_POSTINGS = 1 << 21
 _LOW, _HIGH = 60.0, 1800.0
 
 
@@ -180,29 +186,75 @@ def pairs(prints: DataFrame, is_query, key: str, min_votes: int = MIN_VOTES, max
     return _classes_and_pairs(prints, is_query, key, min_votes, max_error)[1]
 
 
-def _classes_and_pairs(prints: DataFrame, is_query, key: str, min_votes: int, max_error: float) -> tuple[DataFrame, DataFrame]:
+class Block:
+    """A bounded block of query classes: the inverted index of their integers and their fingerprints."""
+
+    def __init__(self, ids: list, prints: list[np.ndarray]):
+        self.ids, self.prints = ids, prints
+        size = [len(p) for p in prints]
+        value, owner = np.concatenate([np.zeros(0, np.uint32), *prints]), np.repeat(np.arange(len(prints)), size)
+        both, self.n = np.unique(value.astype(np.int64) << 24 | owner, return_counts=True)  # fewer than 2^24 classes a block
+        self.owner = both & ((1 << 24) - 1)
+        self.value, first = np.unique(both >> 24, return_index=True)
+        self.first = np.append(first, len(both))
+
+    def likely(self, value: np.ndarray, owner: np.ndarray, rows: int, min_votes: int) -> tuple[np.ndarray, np.ndarray]:
+        """(row, query) that can have ``min_votes`` votes at one offset: there a value votes at most as often as it occurs on either side."""
+        at = np.searchsorted(self.value, value)
+        known = np.flatnonzero((at < len(self.value)) & (self.value[np.minimum(at, max(len(self.value) - 1, 0))] == value)) if len(self.value) else np.zeros(0, np.int64)
+        both, n = np.unique(at[known] << 32 | owner[known], return_counts=True)
+        at, owner = both >> 32, both & ((1 << 32) - 1)
+        many = self.first[at + 1] - self.first[at]
+        bound = np.zeros(rows * len(self.ids), np.int64)
+        step = max(1, int(np.searchsorted(np.cumsum(many), _POSTINGS)))
+        for lo in range(0, len(at), step):
+            m = many[lo : lo + step]
+            post = np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m) + np.repeat(self.first[at[lo : lo + step]], m)
+            np.add.at(bound, np.repeat(owner[lo : lo + step], m) * len(self.ids) + self.owner[post], np.minimum(self.n[post], np.repeat(n[lo : lo + step], m)))
+        return np.divmod(np.flatnonzero(bound >= min_votes), max(1, len(self.ids)))
+
+
+def _classes_and_pairs(prints: DataFrame, is_query, key: str, min_votes: int, max_error: float, block_steps: int = BLOCK_STEPS) -> tuple[DataFrame, DataFrame]:
+    """Classes, and the alignments of the query classes with all others, a block of queries at a time.
+
+    A block holds about ``block_steps`` integers and is broadcast; every recording passes it once, so
+    a value that very many recordings hold is looked up once in each and never joined. All pairs that
+    can reach ``min_votes`` are measured.
+    """
+    spark = prints.sparkSession
     rows = materialize(prints.where(F.col(key).isNotNull()).select(key, "print", is_query.alias("is_query"), F.sha2(F.array_join("print", ","), 256).alias("sum")), "prints")
     heads = rows.groupBy("sum").agg(F.min(key).alias("class_id"), F.max("is_query").alias("asked"), F.first("print").alias("print"))
     heads = materialize(heads.where(F.size("print") > 0), "classes")
     classes = rows.join(heads.select("sum", "class_id"), "sum", "left").select(key, F.coalesce("class_id", F.col(key)).alias("class_id"), "print", "is_query")
-    steps = heads.select("class_id", "asked", F.posexplode("print").alias("at", "value"))
-    # at one offset a value cannot vote more often than it occurs on either side; per class and value one row, so a common value stays linear in the recordings
-    index = steps.groupBy("value", "class_id").agg(F.max("asked").alias("asked"), F.count("*").alias("n"))
-    left = index.where("asked").select("value", F.col("class_id").alias("a"), F.col("n").alias("n_a"))
-    right = index.select("value", F.col("class_id").alias("b"), F.col("n").alias("n_b"))
-    bound = left.join(right, "value").where("a <> b").groupBy("a", "b").agg(F.sum(F.least("n_a", "n_b")).alias("bound"))
-    likely = bound.where(F.col("bound") >= min_votes)
-    joined = likely.join(heads.select(F.col("class_id").alias("a"), F.col("print").alias("pa")), "a").join(heads.select(F.col("class_id").alias("b"), F.col("print").alias("pb")), "b")
-
-    def measure(batches):
-        for batch in batches:
-            out = [best_offset(x.values.to_numpy().view(np.uint32), y.values.to_numpy().view(np.uint32)) for x, y in zip(batch.column(2), batch.column(3), strict=True)]
-            at, n, error = zip(*out, strict=True) if out else ((), (), ())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(at, pa.int32()), pa.array(n, pa.int32()), pa.array(error, pa.float64())], ["a", "b", "offset", "votes", "error"])
-
+    asked = heads.where("asked")
+    many = max(1, -(-(asked.agg(F.coalesce(F.sum(F.size("print")), F.lit(0)).alias("n")).first()["n"]) // block_steps))
     kind = prints.schema[key].dataType.simpleString()
-    found = joined.select("a", "b", "pa", "pb").mapInArrow(measure, f"a {kind}, b {kind}, offset int, votes int, error double")
-    return classes, materialize(found.where((F.col("votes") >= min_votes) & (F.col("error") <= max_error)), "aligned")
+    found = None
+    for at in range(many):
+        part = asked.where(F.pmod(F.xxhash64("class_id", F.lit(7)), F.lit(many)) == at).select("class_id", "print").toArrow()  # about block_steps integers
+        shared = spark.sparkContext.broadcast(Block(part.column(0).to_pylist(), [x.values.to_numpy().view(np.uint32) for x in part.column(1)]))
+
+        def measure(batches, shared=shared):
+            block = shared.value
+            for batch in batches:
+                for lo in range(0, batch.num_rows, _ROWS):
+                    here = batch.slice(lo, _ROWS)
+                    own = [x.values.to_numpy().view(np.uint32) for x in here.column(1)]
+                    value, owner = np.concatenate(own).astype(np.int64), np.repeat(np.arange(len(own)), [len(x) for x in own])
+                    ids, out = here.column(0).to_pylist(), []
+                    for row, query in zip(*block.likely(value, owner, len(own), min_votes), strict=True):
+                        if block.ids[query] != ids[row]:
+                            offset, votes, error = best_offset(block.prints[query], own[row])
+                            if votes >= min_votes and error <= max_error:
+                                out.append((block.ids[query], ids[row], offset, votes, error))
+                    if out:
+                        a, b, offset, votes, error = zip(*out, strict=True)
+                        yield pa.RecordBatch.from_arrays([pa.array(a, here.column(0).type), pa.array(b, here.column(0).type), pa.array(offset, pa.int32()), pa.array(votes, pa.int32()), pa.array(error, pa.float64())], ["a", "b", "offset", "votes", "error"])
+
+        one = materialize(heads.select("class_id", "print").mapInArrow(measure, f"a {kind}, b {kind}, offset int, votes int, error double"), "aligned")
+        shared.destroy()
+        found = one if found is None else found.unionByName(one)
+    return classes, found
 
 
 def sonify(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", tone: int = 512) -> DataFrame:

@@ -32,3 +32,25 @@ def test_long_held_values_are_correlated():
     for n, m in ((900, 700), (300, 1200)):
         a, b = (rng.choice([7, 7, 7, 9], k).astype(np.uint32) for k in (n, m))
         assert chroma.best_offset(a, b) == brute(a, b)
+
+
+def test_blocks_of_queries_against_all_pairs(spark):
+    rng = np.random.default_rng(5)
+    prints = [rng.choice([7, 7, 9, 11], k).astype(np.uint32) for k in (40, 3, 5, 60, 17, 1)] + [np.full(30, 7, np.uint32), np.full(4, 7, np.uint32), np.zeros(0, np.uint32)]
+    prints += [rng.integers(0, 1 << 32, 50, dtype=np.uint32) for _ in range(4)] + [prints[0].copy()]
+    table = spark.createDataFrame([(i, p.view(np.int32).tolist()) for i, p in enumerate(prints)] + [(None, [7, 7, 7])], "id long, print array<int>")
+    asked = {i for i in range(len(prints)) if i % 2 == 0} | {len(prints) - 1}
+    want = {}
+    for a in range(len(prints) - 1):
+        for b in range(len(prints) - 1):
+            if a != b and (a in asked):
+                v = brute(prints[a].tolist(), prints[b].tolist())
+                if v[1] >= chroma.MIN_VOTES and v[2] <= chroma.MAX_ERROR:
+                    want[a, b] = v
+    found = chroma._classes_and_pairs(table, F.col("id").isin(*asked), "id", chroma.MIN_VOTES, chroma.MAX_ERROR, block_steps=60)[1]
+    assert {(r["a"], r["b"]): (r["offset"], r["votes"], r["error"]) for r in found.collect()} == want and want
+
+
+def test_align_of_an_empty_table(spark):
+    table = spark.createDataFrame([], "id long, print array<int>, value int")
+    assert chroma.align(table, F.lit(True), "id").collect() == []
