@@ -8,13 +8,15 @@ window of ``length`` bytes, the place of the one with the least hash (the leftmo
 Equal windows choose the same place, so two equal windows are found as two suffixes with equal
 leading tokens (those 32 bytes) that agree far enough to the right, and before them to the left.
 
-1. Each text yields its chosen places with the run of windows that chose each, a hash of the
-   leading tokens and one of the run's bytes.
-2. Sampled splitters range-partition these suffixes by leading tokens, then by the run's hash;
-   a bucket sorts locally. Runs that occur twice are repeated as a whole. Groups that touch a
-   bucket's border may go on in the next bucket: they are compared across borders by aggregates
-   that are combined before the shuffle, so leading tokens that a third of all texts share are
-   split over many buckets.
+1. Each text yields its chosen places with the run of windows that chose each, the leading tokens
+   (their first four bytes and a hash of all 32) and a hash of the run's bytes.
+2. Sampled splitters range-partition these suffixes by leading tokens, then by the run's hash, so
+   leading tokens that a third of all texts share are split over many buckets. A bucket sorts
+   locally by multikey quicksort; from the common prefix lengths it knows how often each run occurs
+   and how many runs share their leading tokens. Runs that occur twice are repeated as a whole. What
+   a bucket cannot know is how its first and last run and leading tokens go on in its neighbours:
+   of these two ends each bucket gives a summary, the summaries are compared across boundaries, and
+   the result, a few rows a bucket, is broadcast back to the suffixes.
 3. Where runs with equal leading tokens differ, one of each kind brings its bytes. These are
    range-partitioned by leading tokens; a bucket sorts the suffixes to the right and the prefixes
    to the left by multikey quicksort, and the two arrays of common prefix lengths tell for each
@@ -24,10 +26,13 @@ leading tokens (those 32 bytes) that agree far enough to the right, and before t
 
 Hashes of runs are 64 bits beside 64 of their leading tokens.
 
-Edge cases: a null text is empty; texts shorter than ``length`` lose nothing; texts without end are
-worked through in sections; rows without an id take no part and lose nothing; an id stands for one
-text, and rows that repeat both are copies of each other; an empty table gives an empty result;
-extra columns are ignored by :func:`spans` and kept by :func:`remove`.
+A bucket holds about ``bucket_rows`` suffixes; there are as many buckets as that takes.
+
+Edge cases: a null text is empty; texts shorter than ``length`` lose nothing; very long texts are
+worked through in sections; a row is told by its id and a hash of its text, so rows without an id and
+rows that share an id are judged each by its own text, and rows that repeat both are copies of each
+other; of equally small hashes in a window the leftmost counts; an empty table gives an empty
+result; extra columns are ignored by :func:`spans` and kept by :func:`remove`.
 """
 
 from __future__ import annotations
@@ -38,6 +43,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StringType
 
 from gristmill.functions.buffers import pieces
@@ -46,6 +52,9 @@ from gristmill.plans.store import discard, materialize
 LENGTH = 200
 LEAD = 32
 GROUP_RUNS = 20_000
+BUCKET_ROWS = 1_000_000
+_TOP = np.uint64(1 << 63)
+SIGN = "__suffix_sign"  # hash of a row's text
 _SECTION = 1 << 20
 _rng = np.random.default_rng(6)
 _LEAD_SALT = _rng.integers(0, 1 << 63, 256, dtype=np.uint64)
@@ -92,7 +101,7 @@ def run_hashes(prefixes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.n
 
 
 def chosen(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, ...]:
-    """(row, place, first window, last window, lead hash, run hash), places and windows from the row's start."""
+    """(row, place, first window, last window, leading tokens, run hash), places and windows from the row's start."""
     n, windows = len(data), len(data) - length + 1
     if windows <= 0:
         return (*(np.zeros(0, np.int64) for _ in range(4)), *(np.zeros(0, np.uint64) for _ in range(2)))
@@ -114,7 +123,11 @@ def chosen(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH) -> tuple
     row = row[first]
     hashed = run_hashes(run_hash_prefixes(data), first, last + length)
     base = offsets[row]
-    return row, place - base, first - base, last - base, hashes[place], hashed
+    lead = hashes[place] >> np.uint64(32)
+    for i in range(4):
+        lead |= data[place + i].astype(np.uint64) << np.uint64(56 - 8 * i)
+    lead ^= _TOP  # signed order is then the order of the bytes
+    return row, place - base, first - base, last - base, lead, hashed
 
 
 def sections(offsets: np.ndarray, length: int, most: int = _SECTION) -> list[tuple[int, int]]:
@@ -125,93 +138,85 @@ def sections(offsets: np.ndarray, length: int, most: int = _SECTION) -> list[tup
     return [(at, min(n, at + most + length - 1)) for at in range(0, n - length + 1, most)]
 
 
+def signed(docs: DataFrame, text: str) -> DataFrame:
+    """``docs`` with a hash of each row's text."""
+    return docs.withColumn(SIGN, F.hash(F.coalesce(F.col(text).cast("string"), F.lit(""))))
+
+
 def places(docs: DataFrame, key: str, text: str, length: int) -> DataFrame:
     kind = docs.schema[key].dataType.simpleString()
-    names = [key, "place", "first", "last", "lead", "run"]
+    names = [key, SIGN, "place", "first", "last", "lead", "run"]
 
     def run(batches):
         for batch in batches:
-            for at, end, data, offsets in pieces(batch.column(1), _SECTION):
-                ids = batch.column(0).slice(at, end - at)
+            for at, end, data, offsets in pieces(batch.column(2), _SECTION):
+                ids, signs = (batch.column(i).slice(at, end - at) for i in (0, 1))
                 cuts = sections(offsets[-1], length) if end == at + 1 else [(0, len(data))]
                 for lo, hi in cuts:
                     part = offsets if len(cuts) == 1 else np.array([0, hi - lo])
                     row, *values, lead, hashed = chosen(data[lo:hi], part, length)
-                    yield pa.RecordBatch.from_arrays([ids.take(pa.array(row)), *(pa.array((v + lo).astype(np.int32)) for v in values), pa.array(lead.view(np.int64)), pa.array(hashed.view(np.int64))], names)
+                    row = pa.array(row)
+                    yield pa.RecordBatch.from_arrays([ids.take(row), signs.take(row), *(pa.array((v + lo).astype(np.int32)) for v in values), pa.array(lead.view(np.int64)), pa.array(hashed.view(np.int64))], names)
+
+    return docs.select(F.col(key), SIGN, F.col(text).cast("string")).mapInArrow(run, f"{key} {kind}, {SIGN} int, place int, first int, last int, lead long, run long")
 
-    return docs.select(F.col(key), F.col(text).cast("string")).mapInArrow(run, f"{key} {kind}, place int, first int, last int, lead long, run long")
 
+INNER, END_LEAD, END_RUN = 0, 1, 2
 
-def _judge(lead: np.ndarray, run: np.ndarray) -> tuple[np.ndarray, ...]:
-    """For rows sorted by (lead, run): (how many rows its run has, is it the run's first row, how many runs its lead has)."""
-    n = len(lead)
-    new_lead = np.concatenate([[True], lead[1:] != lead[:-1]])
-    new_run = new_lead | np.concatenate([[True], run[1:] != run[:-1]])
+
+def judge(lead: np.ndarray, run: np.ndarray) -> tuple[np.ndarray, ...]:
+    """A bucket as (order, copies, leads, kinds, edge).
+
+    Per row in sorted order: how many rows its run has here, whether it is its run's first row, how
+    many runs its leading tokens have here, and whether these (END_LEAD) or the run too (END_RUN)
+    touch an end of the bucket.
+    """
+    order, common = multikey_sort(np.zeros(len(lead), np.int64), np.stack([lead.view(np.uint64) ^ _TOP, run.view(np.uint64) ^ _TOP], 1))
+    new_lead, new_run = common < 8, common < 16
     run_no, lead_no = np.cumsum(new_run) - 1, np.cumsum(new_lead) - 1
-    return np.bincount(run_no, minlength=1)[run_no] if n else run_no, new_run, np.bincount(lead_no[new_run])[lead_no] if n else lead_no
+    edge = np.full(len(lead), INNER, np.int8)
+    edge[(lead_no == 0) | (lead_no == lead_no[-1])] = END_LEAD
+    edge[(run_no == 0) | (run_no == run_no[-1])] = END_RUN
+    return order, np.bincount(run_no)[run_no], new_run, np.bincount(lead_no[new_run])[lead_no], edge
 
 
-def buckets(found: DataFrame, key: str) -> DataFrame:
-    """Judge each bucket's inner groups; rows of groups at its borders come out as they are (``copies`` null)."""
+def buckets(found: DataFrame, key: str, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """The suffixes, with what their bucket knows of each; those that are plainly alone are left out."""
     kind = found.schema[key].dataType.simpleString()
-    names = [key, "place", "first", "last", "lead", "run", "copies", "leads", "kinds"]
+    extra = ["copies", "leads", "kinds", "edge"]
 
     def run(batches):
-        held, at_start = None, True
+        t = pa.Table.from_batches(list(batches), schema) if (batches := [b for b in batches if b.num_rows]) else None
+        if t is None:
+            return
+        order, copies, leads, kinds, edge = judge(t["lead"].to_numpy(), t["run"].to_numpy())
+        keep = np.flatnonzero((edge != INNER) | (copies > 1) | (kinds > 1))
+        t = t.take(pa.array(order[keep]))
+        arrays = [*(_one(c) for c in t.columns), pa.array(copies[keep].astype(np.int64)), pa.array(leads[keep]), pa.array(kinds[keep].astype(np.int64)), pa.array(edge[keep])]
+        yield from pa.Table.from_arrays(arrays, [*t.column_names, *extra]).to_batches(max_chunksize=20_000)
 
-        def out(t: pa.Table, judged: bool):
-            n = t.num_rows
-            if not judged:
-                extra = [pa.nulls(n, pa.int64()), pa.nulls(n, pa.bool_()), pa.nulls(n, pa.int64())]
-                keep = None
-            else:
-                copies, leads, kinds = _judge(t["lead"].to_numpy(), t["run"].to_numpy())
-                keep = np.flatnonzero((copies > 1) | (kinds > 1))
-                extra = [pa.array(x[keep]) for x in (copies.astype(np.int64), leads, kinds.astype(np.int64))]
-                t = t.take(pa.array(keep))
-            columns = [_one(c) for c in t.columns] + extra
-            yield from pa.Table.from_arrays(columns, names).to_batches(max_chunksize=20_000)
+    schema = to_arrow_schema(found.schema)
+    parts = max(int(found.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-found.count() // bucket_rows))
+    dealt = found.repartitionByRange(parts, "lead", "run", key, SIGN, "place")
+    return dealt.mapInArrow(run, f"{key} {kind}, {SIGN} int, place int, first int, last int, lead long, run long, copies long, leads boolean, kinds long, edge byte")
 
-        for batch in batches:
-            held = pa.Table.from_batches(([*held.to_batches()] if held is not None else []) + [batch])
-            lead = held["lead"].to_numpy()
-            if not len(lead) or lead[0] == lead[-1]:
-                if at_start and len(lead):  # still the first group: it may have begun in the bucket before
-                    yield from out(held, False)
-                    held = held.slice(0, 0)
-                    first_lead = lead[-1]
-                    at_start = (first_lead,)
-                continue
-            begin = 0
-            if at_start is True:
-                begin = int(np.searchsorted(lead, lead[0], "right"))
-            elif isinstance(at_start, tuple):
-                begin = int(np.searchsorted(lead, at_start[0], "right"))
-            if at_start is not False and begin:
-                yield from out(held.slice(0, begin), False)
-            at_start = False
-            final = int(np.searchsorted(lead, lead[-1]))
-            if final > begin:
-                yield from out(held.slice(begin, final - begin), True)
-            held = held.slice(max(final, begin))
-        if held is not None and held.num_rows:
-            yield from out(held, False)
 
-    spark = found.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = found.repartitionByRange(parts, "lead", "run", key, "place").sortWithinPartitions("lead", "run")
-    return dealt.mapInArrow(run, f"{key} {kind}, place int, first int, last int, lead long, run long, copies long, leads boolean, kinds long")
+def across_boundaries(judged: DataFrame, key: str) -> DataFrame:
+    """``judged`` with the numbers of rows and runs that hold over all buckets.
 
-
-def across_borders(open_: DataFrame, key: str) -> DataFrame:
-    """The same judgement for groups that touch a border, wherever their rows lie."""
-    rows = open_.select(key, "place", "first", "last", "lead", "run")
-    runs = rows.groupBy("lead", "run").agg(F.count("*").alias("copies"), F.min(F.struct(key, "place")).alias("one"))
-    runs = materialize(runs, "border-runs")  # joined from a table of its own, a run's rows may be split over tasks
-    kinds = runs.groupBy("lead").agg(F.count("*").alias("kinds"))
-    told = rows.join(runs, ["lead", "run"]).join(kinds, "lead").where("copies > 1 or kinds > 1")
-    leads = F.struct(key, "place").eqNullSafe(F.col("one"))
-    return told.select(key, "place", "first", "last", "lead", "run", "copies", leads.alias("leads"), "kinds")
+    A bucket has at most two end runs and two end leads, so the summaries are a few rows a bucket.
+    """
+    one = F.struct(F.col(key).alias("k"), SIGN, "place")
+    ends = judged.where(F.col("edge") == END_RUN).groupBy("lead", "run").agg(F.count("*").alias("all_copies"), F.min(F.when(F.col("leads"), one)).alias("one"))
+    ends = materialize(ends, "end-runs")
+    inner = judged.where((F.col("edge") == END_LEAD) & F.col("leads")).groupBy("lead").agg(F.count("*").alias("n"))
+    kinds = inner.unionByName(ends.groupBy("lead").agg(F.count("*").alias("n"))).groupBy("lead").agg(F.sum("n").alias("all_kinds"))
+    kinds = materialize(kinds, "end-leads")
+    end_run, touched = F.col("edge") == END_RUN, F.col("edge") != INNER
+    told = judged.join(F.broadcast(ends), ["lead", "run"], "left").join(F.broadcast(kinds), "lead", "left")
+    told = told.withColumn("leads", F.when(end_run, F.col("leads") & one.eqNullSafe(F.col("one"))).otherwise(F.col("leads")))
+    told = told.withColumn("copies", F.when(end_run, F.col("all_copies")).otherwise(F.col("copies"))).withColumn("kinds", F.when(touched, F.col("all_kinds")).otherwise(F.col("kinds")))
+    return told.where("copies > 1 or kinds > 1").select(key, SIGN, "place", "first", "last", "lead", "run", "copies", "leads", "kinds")
 
 
 def _one(column: pa.ChunkedArray) -> pa.Array:
@@ -297,20 +302,27 @@ def repeated_windows(group: np.ndarray, data: np.ndarray, offsets: np.ndarray, p
 def fetch(requests: DataFrame, docs: DataFrame, key: str, text: str, length: int, group_runs: int) -> DataFrame:
     """The bytes of each requested run; for crowded leading tokens the hash of each window instead (``window``)."""
     kind = docs.schema[key].dataType.simpleString()
-    wanted = requests.groupBy(key).agg(F.collect_list(F.struct("place", "first", "last", "lead", F.col("copies").alias("copies"), "kinds")).alias("runs"))
-    joined = docs.select(F.col(key), F.col(text).cast("string").alias("t")).join(wanted, key)
-    names = [key, "lead", "place", "first", "single", "content", "window"]
+    wanted = requests.groupBy(key, SIGN).agg(F.collect_list(F.struct("place", "first", "last", "lead", "copies", "kinds")).alias("runs"))
+    wanted = wanted.withColumnsRenamed({key: "__suffix_key", SIGN: "__suffix_own"})
+    joined = docs.join(wanted, F.col(key).eqNullSafe(F.col("__suffix_key")) & (F.col(SIGN) == F.col("__suffix_own"))).select(key, SIGN, F.col(text).cast("string").alias("t"), "runs")
+    names = [key, SIGN, "lead", "place", "first", "single", "content", "window"]
 
     def run(batches):
+        before = None
         for batch in batches:
-            ids, rows = batch.column(0), []
+            ids, signs, rows = batch.column(0), batch.column(1), []
 
             def out():
                 i, lead, place, first, single, content, window = zip(*rows, strict=True)
-                return pa.RecordBatch.from_arrays([ids.take(pa.array(i)), pa.array(lead, pa.int64()), pa.array(place, pa.int32()), pa.array(first, pa.int32()), pa.array(single), pa.array(content, pa.binary()), pa.array(window, pa.int64())], names)
+                i = pa.array(i)
+                return pa.RecordBatch.from_arrays([ids.take(i), signs.take(i), pa.array(lead, pa.int64()), pa.array(place, pa.int32()), pa.array(first, pa.int32()), pa.array(single), pa.array(content, pa.binary()), pa.array(window, pa.int64())], names)
 
             size = 0
-            for i, (t, runs) in enumerate(zip(batch.column(1), batch.column(2), strict=True)):
+            for i, (t, runs) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
+                row = (ids[i].as_py(), signs[i].as_py())
+                if row == before:  # a repeated row: its runs have been brought
+                    continue
+                before = row
                 raw = (t.as_py() or "").encode()
                 for r in runs.as_py():
                     content = raw[r["first"] : r["last"] + length]
@@ -329,11 +341,11 @@ def fetch(requests: DataFrame, docs: DataFrame, key: str, text: str, length: int
             if rows:
                 yield out()
 
-    return joined.mapInArrow(run, f"{key} {kind}, lead long, place int, first int, single boolean, content binary, window long")
+    return joined.mapInArrow(run, f"{key} {kind}, {SIGN} int, lead long, place int, first int, single boolean, content binary, window long")
 
 
 def compare(contents: DataFrame, key: str, length: int) -> DataFrame:
-    """(key, start, end) of repeated windows of runs that occur once, from buckets by leading tokens."""
+    """(key, sign, start, end) of repeated windows of runs that occur once, from buckets by leading tokens."""
     kind = contents.schema[key].dataType.simpleString()
 
     def judged(t: pa.Table):
@@ -349,7 +361,8 @@ def compare(contents: DataFrame, key: str, length: int) -> DataFrame:
         change = np.diff(edge, axis=1)
         row, low = np.nonzero(change == 1)
         _, high = np.nonzero(change == -1)  # windows low to high - 1 bytes before the place
-        return pa.RecordBatch.from_arrays([_one(t[key]).take(pa.array(row)), pa.array((place[row] - high + 1).astype(np.int32)), pa.array((place[row] - low + length).astype(np.int32))], [key, "start", "end"])
+        at = pa.array(row)
+        return pa.RecordBatch.from_arrays([_one(t[key]).take(at), _one(t[SIGN]).take(at), pa.array((place[row] - high + 1).astype(np.int32)), pa.array((place[row] - low + length).astype(np.int32))], [key, SIGN, "start", "end"])
 
     def run(batches):
         held: list[pa.RecordBatch] = []
@@ -371,26 +384,25 @@ def compare(contents: DataFrame, key: str, length: int) -> DataFrame:
 
     parts = int(contents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = contents.repartitionByRange(parts, "lead").sortWithinPartitions("lead")
-    return dealt.select(key, "lead", "place", "first", "single", "content").mapInArrow(run, f"{key} {kind}, start int, end int")
+    return dealt.select(key, SIGN, "lead", "place", "first", "single", "content").mapInArrow(run, f"{key} {kind}, {SIGN} int, start int, end int")
 
 
-def spans(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, group_runs: int = GROUP_RUNS) -> DataFrame:
-    """(key, start, end): byte ranges that lie in repeated strings; ranges of a text may overlap."""
+def spans(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, group_runs: int = GROUP_RUNS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """(key, sign, start, end): byte ranges that lie in repeated strings; ranges of a text may overlap. ``sign`` is :func:`signed`'s."""
     if length < LEAD:
         raise ValueError(f"strings of {LEAD} bytes at least")
-    docs = docs.where(F.col(key).isNotNull())
+    docs = signed(docs.select(key, text), text)
     found = materialize(places(docs, key, text, length), "places")
-    judged = materialize(buckets(found, key), "judged")
+    judged = materialize(buckets(found, key, bucket_rows), "judged")
     discard(found)
-    border = across_borders(judged.where("copies is null"), key)
-    told = judged.where("copies is not null").unionByName(border)
-    whole = told.where("copies > 1").select(key, F.col("first").alias("start"), (F.col("last") + length).alias("end"))
+    told = across_boundaries(judged, key)
+    whole = told.where("copies > 1").select(key, SIGN, F.col("first").alias("start"), (F.col("last") + length).alias("end"))
     requests = told.where("kinds > 1 and (copies = 1 or leads)")
     contents = materialize(fetch(requests, docs, key, text, length, group_runs), "runs")
     parted = compare(contents.where("window is null"), key, length)
-    windows = contents.where("window is not null").select(key, "lead", "window", "first", "single")
+    windows = contents.where("window is not null").select(key, SIGN, "lead", "window", "first", "single")
     twice = windows.groupBy("lead", "window").agg(F.count("*").alias("n")).where("n > 1").select("lead", "window")
-    crowded = windows.where("single").join(twice, ["lead", "window"]).select(key, F.col("first").alias("start"), (F.col("first") + length).alias("end"))
+    crowded = windows.where("single").join(twice, ["lead", "window"]).select(key, SIGN, F.col("first").alias("start"), (F.col("first") + length).alias("end"))
     return whole.unionByName(parted).unionByName(crowded)
 
 
@@ -406,18 +418,17 @@ def merged(ranges: np.ndarray) -> np.ndarray:
     return np.stack([starts, ends], 1)
 
 
-def remove(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, group_runs: int = GROUP_RUNS, report: bool = False) -> DataFrame:
+def remove(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, group_runs: int = GROUP_RUNS, bucket_rows: int = BUCKET_ROWS, report: bool = False) -> DataFrame:
     """``docs`` with repeated bytes taken out of ``text``; what is left of a torn character is dropped too.
 
     With ``report``, per row (key, n_bytes, n_removed, n_spans, kept_sha256) instead.
     """
-    cuts = spans(docs, key, text, length, group_runs).groupBy(key).agg(F.collect_list(F.struct("start", "end")).alias("_cuts"))
-    if report:
-        wanted = docs.select(F.col(key), F.col(text).cast("string").alias(text)).join(cuts, key, "left")
-    else:
-        wanted = docs.join(cuts, key, "left")
+    cuts = spans(docs, key, text, length, group_runs, bucket_rows).groupBy(key, SIGN).agg(F.collect_set(F.struct("start", "end")).alias("__suffix_cuts"))
+    cuts = cuts.withColumnsRenamed({key: "__suffix_key", SIGN: "__suffix_own"})
+    rows = signed(docs.select(F.col(key), F.col(text).cast("string").alias(text)) if report else docs, text)
+    wanted = rows.join(cuts, F.col(key).eqNullSafe(F.col("__suffix_key")) & (F.col(SIGN) == F.col("__suffix_own")), "left").drop(SIGN, "__suffix_key", "__suffix_own")
     names = wanted.columns
-    at_text, at_cuts, at_key = names.index(text), names.index("_cuts"), names.index(key)
+    at_text, at_cuts, at_key = names.index(text), names.index("__suffix_cuts"), names.index(key)
 
     def run(batches):
         for batch in batches:
@@ -440,11 +451,11 @@ def remove(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int
                 a, b, c, d = zip(*rows, strict=True) if rows else ((),) * 4
                 yield pa.RecordBatch.from_arrays([batch.column(at_key), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.int64()), pa.array(d, pa.string())], [key, "n_bytes", "n_removed", "n_spans", "kept_sha256"])
             else:
-                yield pa.RecordBatch.from_arrays([pa.array(rows, pa.string()) if i == at_text else batch.column(i) for i in range(len(names)) if i != at_cuts], [x for x in names if x != "_cuts"])
+                yield pa.RecordBatch.from_arrays([pa.array(rows, pa.string()) if i == at_text else batch.column(i) for i in range(len(names)) if i != at_cuts], [x for x in names if x != "__suffix_cuts"])
 
     if report:
         return wanted.mapInArrow(run, f"{key} {docs.schema[key].dataType.simpleString()}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
-    schema = wanted.drop("_cuts").schema
+    schema = wanted.drop("__suffix_cuts").schema
     schema[text].dataType = StringType()
     return wanted.mapInArrow(run, schema).select(docs.columns)
 

@@ -37,11 +37,11 @@ def corpus():
     return rows
 
 
-@pytest.mark.parametrize("group_runs", [suffix.GROUP_RUNS, 1])
-def test_matches_brute_force(spark, group_runs):
+@pytest.mark.parametrize(("group_runs", "bucket_rows"), [(suffix.GROUP_RUNS, suffix.BUCKET_ROWS), (1, 40), (suffix.GROUP_RUNS, 7)])
+def test_matches_brute_force(spark, group_runs, bucket_rows):
     rows = corpus()
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    got = suffix.remove(docs, report=True, group_runs=group_runs)
+    got = suffix.remove(docs, report=True, group_runs=group_runs, bucket_rows=bucket_rows)
     assert sorted(tuple(r) for r in got.collect()) == brute(rows)
 
 
@@ -74,6 +74,34 @@ def test_general_form(spark):
     rows = [(1, "é" * 150 + "!", 1), (2, "?" + "é" * 150, 2), (None, "é" * 150, 3), (4, None, 4)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, start int")
     got = {r["start"]: r["text"] for r in suffix.remove(docs).collect()}
-    assert got == {1: "!", 2: "?", 3: "é" * 150, 4: None}
+    assert got == {1: "!", 2: "?", 3: "", 4: None}
     assert suffix.remove(docs).columns == docs.columns
     assert suffix.remove(docs.limit(0), report=True).count() == 0
+
+
+def test_hot_leading_tokens_over_many_buckets(spark):
+    """One passage in every text, alike in its run in most and cut differently in the rest."""
+    random.seed(4)
+    words = ["".join(random.choice("mnopqr") for _ in range(5)) for _ in range(300)]
+    text = lambda n: " ".join(random.choice(words) for _ in range(n))
+    passage = text(40)
+    rows = [(i, passage) for i in range(60)] + [(100 + i, f"{text(3)} {passage[i:]} {text(4)}") for i in range(25)] + [(200 + i, passage[: 190 + i]) for i in range(25)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert sorted(tuple(r) for r in suffix.remove(docs, report=True, bucket_rows=5).collect()) == brute(rows)
+
+
+def test_repeated_ids_and_missing_ids_are_judged_by_their_own_text(spark):
+    random.seed(3)
+    text = lambda n: "".join(random.choice("abcdefgh ") for _ in range(n))
+    shared = text(300)
+    rows = [(1, text(500)), (1, shared), (2, text(50) + shared), (None, text(400)), (None, shared[:250]), (3, text(600)), (3, text(10))]
+    rows += [(4, rows[5][1])] + [(5, text(260))] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((tuple(r) for r in suffix.remove(docs, report=True).collect()), key=str)
+    assert got == sorted(((None if r[0] == -1 else r[0], *r[1:]) for r in brute([(-1 if k is None else k, t) for k, t in rows])), key=str)
+
+
+def test_clashing_columns_stay(spark):
+    docs = spark.createDataFrame([(1, "q" * 450, 1, 2, 3, "a")], "doc_id long, text string, lead int, run int, place int, copies string")
+    got = suffix.remove(docs)
+    assert got.columns == docs.columns and got.first()["text"] == "" and got.first()["copies"] == "a"
