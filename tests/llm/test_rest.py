@@ -155,3 +155,44 @@ def test_recall_ties_and_bad_vectors(spark):
     few = nndescent.nearest(table.where("vec_id < 4 or vec_id = 5100"), F.col("vec_id") == 0).toPandas()
     assert len(few) == 3
     assert nndescent.nearest(table.where("vec_id < 0"), F.lit(True)).count() == 0
+
+
+def brute_nearest(rows, asked, k):
+    out = {}
+    for q, v in rows:
+        if q in asked:
+            d = sorted((float(np.sqrt(((np.array(v) - np.array(w)) ** 2).sum())), i) for i, w in rows if i != q and len(w) == len(v))
+            out[q] = [i for _, i in d[:k]]
+    return out
+
+
+def test_descent_runs_and_mends_a_poor_start(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(100)]
+    calls = []
+    descend = nndescent.descend
+    monkeypatch.setattr(nndescent, "descend", lambda *a: calls.append(1) or descend(*a))
+    nodes = nndescent.nodes_of(spark.createDataFrame(rows, "id long, v array<double>"), "id", "v", 4)
+    assert len(calls) == 0
+    true = brute_nearest(rows, {i for i, _ in rows}, 8)
+
+    def share(graph):
+        return np.mean([len({e["id"] for e in r["near"]} & set(true[r["node"]])) / 8 for r in graph.collect()])
+
+    poor = nndescent.merge_lists(nndescent.blocks(nodes, 0, 4, 10, 8, 1), 8)
+    assert share(poor) < 0.5
+    graph = nndescent.build(nodes, k=8, back=8, tables=2, leaf=10, settled=0.0)
+    assert len(calls) > 1 and share(graph) > 0.9
+
+
+def test_lengths_are_searched_apart_and_ties_go_to_smaller_ids(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.normal(size=4).tolist()) for i in range(40)] + [(100 + i, rng.normal(size=6).tolist()) for i in range(15)]
+    rows += [(300 + i, rows[3][1]) for i in range(30)] + [(400, [0.0] * 4), (401, None), (402, [float("nan")] * 4), (403, [1.0, None, 0.0, 0.0]), (None, rows[0][1])]
+    docs = spark.createDataFrame([(k, v, "x") for k, v in rows], "vec_id long, embedding array<double>, node string")
+    got = {}
+    for r in nndescent.nearest(docs, F.lit(True)).collect():
+        got.setdefault(r["query_id"], {})[r["rank"]] = r["vec_id"]
+    usable = [(k, v) for k, v in rows if k is not None and k < 400]
+    assert {q: [v[i] for i in sorted(v)] for q, v in got.items()} == brute_nearest(usable, {k for k, _ in usable}, 10)
+    assert nndescent.nearest(docs.limit(0), F.lit(True)).collect() == []
