@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 # White space as Python's str.split and strip see it: Java's Unicode class and four separators it lacks.
 WS = r"(?U)[\s\x1C-\x1F]"
-_W = r"[\s\x1C-\x1F]"
+WS_CHARS = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 
 # Advertising, copyright and navigation patterns that count as boilerplate.
 BOILERPLATE = (
@@ -36,7 +36,17 @@ def _text(c: Column | str) -> Column:
 
 def strip(c: Column | str) -> Column:
     """Without leading and trailing white space."""
-    return F.regexp_replace(_text(c), rf"(?U)^{_W}+|{_W}+$", "")
+    return F.btrim(_text(c), F.lit(WS_CHARS))
+
+
+def visible(c: Column | str) -> Column:
+    """Without any white space."""
+    return F.translate(_text(c), WS_CHARS, "")
+
+
+def bound(value: Column, use) -> Column:
+    """``use`` of a value that is worked out once, however often ``use`` names it."""
+    return F.transform(F.array(value), use)[0]
 
 
 def text_length(c: Column | str) -> Column:
@@ -45,20 +55,23 @@ def text_length(c: Column | str) -> Column:
 
 def doc_length(c: Column | str) -> Column:
     """Characters that are not white space."""
-    return F.length(F.regexp_replace(_text(c), WS, "")).cast("double")
+    return F.length(visible(c)).cast("double")
 
 
 def script_ratio(c: Column | str, script: str = r"[\x{4E00}-\x{9FFF}]") -> Column:
     """Share of visible characters in a script (CJK ideographs by default); 0 for an empty text."""
-    seen = F.length(F.regexp_replace(_text(c), WS, ""))
-    return F.when(seen == 0, F.lit(0.0)).otherwise(F.regexp_count(_text(c), F.lit(script)) / seen)
+    return bound(F.length(visible(c)), lambda seen: F.when(seen == 0, F.lit(0.0)).otherwise(F.regexp_count(_text(c), F.lit(script)) / seen))
 
 
 def char_repetition(c: Column | str) -> Column:
     """1 minus the share of the longest run of one character; 1 for fewer than 4 characters."""
-    s = strip(c)
-    runs = F.transform(F.regexp_extract_all(s, F.lit(r"(?s)(.)\1*"), F.lit(0)), F.length)
-    return F.when(F.length(s) < 4, F.lit(1.0)).otherwise(1 - F.array_max(runs) / F.length(s))
+
+    def longest(s: Column) -> Column:
+        """Only runs of four and more are brought into an array; shorter ones are told by whether they occur."""
+        long = F.array_max(F.transform(F.regexp_extract_all(s, F.lit(r"(?s)(.)\1{3,}"), F.lit(0)), F.length))
+        return F.coalesce(long, F.when(s.rlike(r"(?s)(.)\1\1"), F.lit(3)).when(s.rlike(r"(?s)(.)\1"), F.lit(2)).otherwise(F.lit(1)))
+
+    return bound(strip(c), lambda s: F.when(F.length(s) < 4, F.lit(1.0)).otherwise(1 - longest(s) / F.length(s)))
 
 
 def lines(c: Column | str) -> Column:
@@ -68,7 +81,7 @@ def lines(c: Column | str) -> Column:
 
 def line_repetition(c: Column | str) -> Column:
     """Share of distinct lines; 1 for fewer than 2 lines."""
-    return F.when(F.size(lines(c)) < 2, F.lit(1.0)).otherwise(F.size(F.array_distinct(lines(c))) / F.size(lines(c)))
+    return bound(lines(c), lambda x: F.when(F.size(x) < 2, F.lit(1.0)).otherwise(F.size(F.array_distinct(x)) / F.size(x)))
 
 
 def pattern_hits(c: Column | str, patterns=BOILERPLATE) -> Column:
@@ -80,7 +93,8 @@ def boilerplate(c: Column | str) -> Column:
 
 
 def pii_classes(c: Column | str) -> Column:
-    return sum((_text(c).rlike(p).cast("int") for p in PII[1:]), _text(c).rlike(PII[0]).cast("int"))
+    number, mail, identity = (_text(c).rlike(p) for p in PII)
+    return number.cast("int") + (_text(c).contains("@") & mail).cast("int") + identity.cast("int")
 
 
 def pii_detect(c: Column | str) -> Column:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from gristmill.functions import text as T
 from gristmill.operators.registry import Tier, get, operator
+from gristmill.plans.store import materialize
 
 TEXT = ("text_article", "image_caption")
 operator("text_length", ("image_caption", "text_article"))(T.text_length)
@@ -24,12 +25,11 @@ operator("boilerplate", TEXT)(T.boilerplate)
 operator("pii_detect", TEXT)(T.pii_detect)
 
 
-@operator("exact_text", TEXT, batch=True)
-def exact_text(df: DataFrame, id_col: str = "id", text: str = "text") -> DataFrame:
-    """(id, score, keep): the smallest id of equal texts stays. The minimum is combined before the shuffle."""
-    md5 = F.md5(F.coalesce(F.col(text), F.lit("")))
-    first = df.groupBy(md5.alias("_h")).agg(F.min(id_col).alias("_first"))
-    return df.select(id_col, md5.alias("_h")).join(first, "_h").select(id_col, F.lit(None).cast("double").alias("score"), (F.col(id_col) == F.col("_first")).alias("keep"))
+@operator("exact_text", TEXT, batch=True, needs={"_md5": lambda text: F.md5(F.coalesce(text, F.lit("")))})
+def exact_text(df: DataFrame, id_col: str = "id") -> DataFrame:
+    """(id, score, keep): the smallest id of equal texts stays. ``df`` has id and ``_md5``; the minimum is combined before the shuffle."""
+    first = df.groupBy("_md5").agg(F.min(id_col).alias("_first"))
+    return df.select(id_col, "_md5").join(first, "_md5").select(id_col, F.lit(None).cast("double").alias("score"), (F.col(id_col) == F.col("_first")).alias("keep"))
 
 
 @dataclass(frozen=True)
@@ -56,38 +56,32 @@ def check(stages: list[Stage], modality: str | None) -> None:
             raise ValueError(f"operator {s.op} does not apply to {modality}")
 
 
-def run(df: DataFrame, stages: list[Stage], id_col: str = "id", text: str = "text", modality: str | None = "text_article") -> DataFrame:
-    """``df`` with ``score_<op>`` (null once dropped), ``dropped_seq`` and ``dropped_by``."""
+def run(df: DataFrame, stages: list[Stage], id_col: str = "id", text: str = "text", modality: str | None = "text_article", carry: list[str] | None = None) -> DataFrame:
+    """The id, the columns to ``carry`` (all by default), ``score_<op>`` (null once dropped), ``dropped_seq`` and ``dropped_by``.
+
+    Texts are read once: all row scores, and what batch operators need, are one projection that is
+    written, and the decisions are made on the written columns. Otherwise the optimizer would work a
+    score out again wherever it is read.
+    """
     check(stages, modality)
-    out = df.withColumn("dropped_seq", F.lit(None).cast("int")).withColumn("dropped_by", F.lit(None).cast("string"))
-    at = 0
-    while at < len(stages):
-        if get(stages[at].op).batch:
-            s = stages[at]
-            judged = get(s.op).score(out.where("dropped_seq is null"), id_col, text, **s.params)
-            judged = judged.select(id_col, F.col("score").alias(f"score_{s.op}"), F.col("keep").alias("_keep"))
+    carry = [c for c in (df.columns if carry is None else carry) if c != id_col]
+    batch = [s for s in stages if get(s.op).batch]
+    made = [get(s.op).score(F.col(text), **s.params).cast("double").alias(f"score_{s.op}") for s in stages if s not in batch]
+    made += [f(F.col(text)).alias(c) for c, f in {c: f for s in batch for c, f in get(s.op).needs.items()}.items()]
+    out = materialize(df.select(id_col, *carry, *made), "funnel").withColumn("dropped_seq", F.lit(None).cast("int"))
+    for i, s in enumerate(stages):
+        c = f"score_{s.op}"
+        if s in batch:
+            judged = get(s.op).score(out.where("dropped_seq is null"), id_col, **s.params).select(id_col, F.col("score").alias(c), F.col("keep").alias("_keep"))
             out = out.join(judged, id_col, "left")
             gone = F.col("dropped_seq").isNull() & ~F.coalesce("_keep", F.lit(True))
-            out = out.withColumn("dropped_by", F.when(gone, F.lit(s.op)).otherwise(F.col("dropped_by"))).withColumn("dropped_seq", F.when(gone, F.lit(at)).otherwise(F.col("dropped_seq"))).drop("_keep")
-            at += 1
-            continue
-        end = at
-        while end < len(stages) and not get(stages[end].op).batch:
-            end += 1
-        scored = out.select("*", *(get(s.op).score(F.col(text), **s.params).alias(f"score_{s.op}") for s in stages[at:end]))
-        first = F.lit(None).cast("int")
-        for i in range(end - 1, at - 1, -1):
-            s = stages[i]
-            first = F.when(~keeps(F.col(f"score_{s.op}"), s.min, s.max), F.lit(i)).otherwise(first)
-        named = scored.withColumn("dropped_seq", F.coalesce("dropped_seq", first))
-        # an operator never sees what fell before it
-        for i in range(at, end):
-            c = f"score_{stages[i].op}"
-            named = named.withColumn(c, F.when(F.col("dropped_seq").isNull() | (F.col("dropped_seq") >= i), F.col(c)))
-        ops = F.array(*(F.lit(s.op) for s in stages))
-        out = named.withColumn("dropped_by", F.when(F.col("dropped_seq").isNotNull(), F.element_at(ops, F.col("dropped_seq") + 1)))
-        at = end
-    return out
+            out = out.withColumn("dropped_seq", F.when(gone, F.lit(i)).otherwise(F.col("dropped_seq"))).drop("_keep")
+        else:  # an operator never sees what fell before it
+            out = out.withColumn(c, F.when(F.col("dropped_seq").isNull(), F.col(c)))
+            out = out.withColumn("dropped_seq", F.coalesce("dropped_seq", F.when(~keeps(F.col(c), s.min, s.max), F.lit(i))))
+    ops = F.array(*(F.lit(s.op) for s in stages))
+    by = F.when(F.col("dropped_seq").isNotNull(), F.element_at(ops, F.col("dropped_seq") + 1))
+    return out.select(id_col, *carry, *(f"score_{s.op}" for s in stages), "dropped_seq", by.alias("dropped_by"))
 
 
 def stats(run_: DataFrame, stages: list[Stage]) -> DataFrame:

@@ -18,7 +18,10 @@ class Tier(IntEnum):
 
 @dataclass(frozen=True)
 class Operator:
-    """``score`` gives a column (row operators) or a frame of (id, score, keep) (batch operators)."""
+    """``score`` gives a column (row operators) or a frame of (id, score, keep) (batch operators).
+
+    ``needs`` names what a batch operator reads beside the id, as columns made from the text.
+    """
 
     name: str
     modalities: frozenset[str]
@@ -26,12 +29,13 @@ class Operator:
     tier: Tier = Tier.RULE
     batch: bool = False
     params: dict = field(default_factory=dict)
+    needs: dict[str, Callable[[Column], Column]] = field(default_factory=dict)
 
 
 _known: dict[str, Operator] = {}
 
 
-def operator(name: str, modalities: tuple[str, ...], tier: Tier = Tier.RULE, batch: bool = False, **params):
+def operator(name: str, modalities: tuple[str, ...], tier: Tier = Tier.RULE, batch: bool = False, needs: dict | None = None, **params):
     """Register a scoring function; a name can be taken once."""
 
     def add(f):
@@ -39,7 +43,7 @@ def operator(name: str, modalities: tuple[str, ...], tier: Tier = Tier.RULE, bat
             raise ValueError(f"operator {name} exists already")
         if not modalities:
             raise ValueError(f"operator {name} names no modality")
-        _known[name] = Operator(name, frozenset(modalities), f, tier, batch, params)
+        _known[name] = Operator(name, frozenset(modalities), f, tier, batch, params, needs or {})
         return f
 
     return add

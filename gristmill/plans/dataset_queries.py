@@ -41,7 +41,7 @@ def decontamination(spark, sf):
 @query("contamination_recall")
 def contamination_recall(spark, sf):
     mixed = dataset.contaminate(table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text"), 0.3)
-    run = funnel.run(mixed, funnel.TEXT_FUNNEL)
+    run = funnel.run(mixed, funnel.TEXT_FUNNEL, carry=["dirty"])
     return dataset.recall_by_kind(run.select(F.col("dropped_seq").isNotNull().alias("dropped"), "dirty"))
 
 
@@ -52,7 +52,7 @@ def routing_cost(spark, sf):
 
 @query("lineage_edges")
 def lineage_edges(spark, sf):
-    run = funnel.run(table(spark, sf, "documents").select("doc_id", "text"), funnel.TEXT_FUNNEL, "doc_id")
+    run = funnel.run(table(spark, sf, "documents").select("doc_id", "text"), funnel.TEXT_FUNNEL, "doc_id", carry=[])
     return dataset.lineage(funnel.verdicts(run, funnel.TEXT_FUNNEL, "doc_id"), "doc_id")[1]
 
 

@@ -88,7 +88,7 @@ _OPS = ("doc_length", "line_repetition", "char_repetition", "boilerplate", "pii_
 
 
 def _funnel(spark, sf):
-    return funnel.run(_docs(spark, sf).select("doc_id", "text"), funnel.TEXT_FUNNEL, "doc_id")
+    return funnel.run(_docs(spark, sf).select("doc_id", "text"), funnel.TEXT_FUNNEL, "doc_id", carry=[])
 
 
 @query("funnel_documents", _FUNNEL + "SELECT doc_id, seq AS dropped_seq, CASE seq " + " ".join(f"WHEN {i} THEN '{o}'" for i, o in enumerate(_OPS)) + " END AS dropped_by FROM g")
@@ -173,7 +173,10 @@ def split_hash(spark, sf):
     return _docs(spark, sf).groupBy(s.alias("split")).agg(F.count("*").alias("n"), F.sum("doc_id").cast("decimal(38,0)").cast("long").alias("ids"))
 
 
-@query("table_fingerprint", "SELECT md5(string_agg(h, chr(10) ORDER BY h)) AS fingerprint, count(*) AS n FROM (SELECT md5(doc_id || '|' || lang || '|' || source || '|' || n_chars) AS h FROM documents)")
+_HEX = "list_reduce(list_transform(string_split(substr(h, {at}, 15), ''), lambda c: cast(strpos('0123456789abcdef', c) - 1 as hugeint)), lambda a, b: a * 16 + b)"
+
+
+@query("table_fingerprint", f"SELECT cast(sum({_HEX.format(at=1)}) as varchar) || ':' || cast(sum({_HEX.format(at=16)}) as varchar) AS fingerprint, count(*) AS n FROM (SELECT md5(doc_id || '|' || coalesce(lang, '') || '|' || coalesce(source, '') || '|' || n_chars) AS h FROM documents)")
 def table_fingerprint(spark, sf):
     return evaluate.fingerprint(_docs(spark, sf).select("doc_id", "lang", "source", "n_chars"))
 
