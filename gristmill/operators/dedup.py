@@ -10,28 +10,28 @@ from pyspark.sql import functions as F
 from gristmill.operators.graph import connected_components
 from gristmill.plans.store import discard, materialize
 
-PRIME = (1 << 31) - 1
 _WINDOWS_AT_ONCE = 1 << 13
 
 
-def _hashes(num_perm: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    rng = np.random.default_rng(seed)
-    return rng.integers(1, 1 << 31, size=num_perm, dtype=np.uint64), rng.integers(0, 1 << 31, size=num_perm, dtype=np.uint64)
+def hash_family(num_perm: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Odd factors and shifts of ``num_perm`` multiply-shift hashes of 4-byte windows."""
+    rng = np.random.default_rng([seed, num_perm])
+    return rng.integers(0, 1 << 63, (num_perm, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1), rng.integers(0, 1 << 64, (num_perm, 1), dtype=np.uint64)
 
 
 def signatures(texts: DataFrame, id_col: str = "id", text: str = "text", num_perm: int = 80, prefix_bytes: int | None = None, seed: int = 42) -> DataFrame:
     """(id, sig array<int>) over the 4-byte windows of each whole text, or of its first ``prefix_bytes`` bytes."""
-    a, b = _hashes(num_perm, seed)
+    factor, shift = hash_family(num_perm, seed)
 
     @F.pandas_udf("array<int>")
     def sign(s: pd.Series) -> pd.Series:
         def one(t):
             raw = np.frombuffer((t or "").encode()[:prefix_bytes].ljust(4, b"\0"), np.uint8)
-            low = np.full(num_perm, PRIME, np.uint64)
+            low = np.full(num_perm, (1 << 31) - 1, np.uint64)
             for at in range(0, len(raw) - 3, _WINDOWS_AT_ONCE):
-                x = raw[at : at + _WINDOWS_AT_ONCE + 3].astype(np.uint64)
-                h = np.unique(x[:-3] | x[1:-2] << np.uint64(8) | x[2:-1] << np.uint64(16) | x[3:] << np.uint64(24))
-                low = np.minimum(low, ((a[:, None] * h[None] + b[:, None]) % np.uint64(PRIME)).min(1))
+                cut = raw[at : at + _WINDOWS_AT_ONCE + 3]
+                window = np.unique(np.lib.stride_tricks.sliding_window_view(cut, 4).copy().view("<u4").ravel())
+                low = np.minimum(low, ((window.astype(np.uint64) * factor + shift) >> np.uint64(33)).min(1))
             return low.astype(np.int32)
 
         return s.map(one)
@@ -39,20 +39,71 @@ def signatures(texts: DataFrame, id_col: str = "id", text: str = "text", num_per
     return texts.select(F.col(id_col).alias("id"), sign(F.col(text)).alias("sig"))
 
 
+def _distinct_signatures(sigs: DataFrame, bands: int) -> tuple[DataFrame, DataFrame]:
+    """(members, keyed): ids with the least id of their equal signatures, and (rep, bucket) of buckets that several share."""
+    n = (sigs.agg(F.max(F.size("sig")).alias("n")).first()["n"] or bands) // bands
+    heads = sigs.groupBy("sig").agg(F.min("id").alias("rep"))
+    keys = F.array(*(F.xxhash64(F.lit(i), F.slice("sig", i * n + 1, n)) for i in range(bands)))
+    keyed = heads.select("rep", F.explode(keys).alias("bucket"))
+    shared = keyed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
+    return sigs.join(heads, "sig").select("id", "rep"), materialize(keyed.join(shared, "bucket"), "buckets")
+
+
 def near_links(sigs: DataFrame, bands: int = 8, threshold: float = 0.7) -> tuple[DataFrame, DataFrame]:
-    """(members, links): members maps ids to the least id of equal signatures; links joins those by verified band matches.
+    """(members, links): members maps ids to the least id of equal signatures; links (src, dst, jaccard) connect all that verify.
 
-    Equal signatures are one vertex. A band's bucket is joined with its own representative and, where
-    signatures verify against it, linked; the others of the bucket are joined among themselves.
+    A bucket's members are compared with its least one. Where a bucket then still holds several
+    components, members outside its largest one are compared with those of the others; pairs inside a
+    component need no link, so a crowded bucket is never compared pair by pair.
+    """
+    members, keyed = _distinct_signatures(sigs, bands)
+    heads = sigs.groupBy("sig").agg(F.min("id").alias("rep"))
+    same = F.size(F.filter(F.zip_with("a", "b", lambda x, y: x == y), lambda x: x)) / F.size("a").cast("double")
+
+    def verified(pairs: DataFrame, name: str) -> DataFrame:
+        both = pairs.distinct().join(heads.select(F.col("rep").alias("src"), F.col("sig").alias("a")), "src").join(heads.select(F.col("rep").alias("dst"), F.col("sig").alias("b")), "dst")
+        return materialize(both.select("src", "dst", same.alias("jaccard")).where(F.col("jaccard") >= threshold), name)
+
+    least = keyed.groupBy("bucket").agg(F.min("rep").alias("src"))
+    stars = materialize(keyed.join(least, "bucket").where("src <> rep").select("bucket", "src", "rep"), "stars")
+    first = verified(stars.select("src", F.col("rep").alias("dst")), "links")
+    part = connected_components(first)
+    placed = keyed.join(part.withColumnRenamed("node", "rep"), "rep", "left").select("bucket", "rep", F.coalesce("component", "rep").alias("component"))
+    main = placed.groupBy("bucket", "component").agg(F.count("*").alias("n")).groupBy("bucket").agg(F.max(F.struct("n", "component"))["component"].alias("main"), F.count("*").alias("parts"))
+    mixed = materialize(placed.join(main.where("parts > 1"), "bucket"), "mixed")
+    stray = mixed.where("component <> main").select("bucket", F.col("rep").alias("s"), F.col("component").alias("c"))
+    met = stray.join(mixed, "bucket").where("c <> component and (component = main or s < rep)").select(F.least("s", "rep").alias("src"), F.greatest("s", "rep").alias("dst"))
+    second = verified(met.distinct().join(stars.select("src", F.col("rep").alias("dst")), ["src", "dst"], "left_anti"), "links")
+    return members, first.unionByName(second)
+
+
+def greedy_buckets(keyed: DataFrame) -> DataFrame:
+    """(rep, kept) for (rep, bucket): going by rep, whoever shares a bucket with a kept one is dropped.
+
+    Each round keeps those that are the least open one of all their buckets and drops their bucket-mates.
     """
-    n = len(sigs.select("sig").first()["sig"]) if sigs.take(1) else bands
-    rows = n // bands
-    members = sigs.groupBy("sig").agg(F.min("id").alias("rep"))
-    keyed = members.select("rep", "sig", F.posexplode(F.array(*(F.xxhash64(F.slice("sig", i * rows + 1, rows)) for i in range(bands)))).alias("band", "key"))
-    left, right = keyed.alias("l"), keyed.alias("r")
-    same = F.size(F.filter(F.zip_with("l.sig", "r.sig", lambda x, y: x == y), lambda x: x)) / F.lit(float(n))
-    links = left.join(right, (F.col("l.band") == F.col("r.band")) & (F.col("l.key") == F.col("r.key")) & (F.col("l.rep") < F.col("r.rep"))).where(same >= threshold)
-    return sigs.join(members, "sig").select("id", "rep"), links.select(F.col("l.rep").alias("src"), F.col("r.rep").alias("dst"), same.alias("jaccard")).distinct()
+    said, open_ = None, keyed
+    while open_.take(1):
+        least = open_.groupBy("bucket").agg(F.min("rep").alias("least"))
+        seen = materialize(open_.join(least, "bucket"), "greedy")
+        keep = seen.groupBy("rep").agg(F.bool_and(F.col("rep") == F.col("least")).alias("kept")).where("kept")
+        drop = seen.where("rep <> least").join(keep.select(F.col("rep").alias("least")), "least", "left_semi").select("rep").distinct()
+        now = materialize(keep.unionByName(drop.withColumn("kept", F.lit(False))), "greedy-said")
+        said = now if said is None else said.unionByName(now)
+        before, open_ = open_, materialize(seen.join(now, "rep", "left_anti").select("rep", "bucket"), "greedy-open")
+        discard(seen)
+        if before is not keyed:
+            discard(before)
+    return said if said is not None else keyed.select("rep", F.lit(True).alias("kept"))
+
+
+def greedy_duplicates(texts: DataFrame, id_col: str = "id", text: str = "text", bands: int = 16, num_perm: int = 128) -> DataFrame:
+    """(id, kept): in order of id, a text that collides in a band with a kept one is dropped; no collision is verified."""
+    sigs = materialize(signatures(texts, id_col, text, num_perm), "signatures")
+    members, keyed = _distinct_signatures(sigs, bands)
+    reps = greedy_buckets(keyed)
+    found = members.join(reps, "rep", "left")
+    return found.select("id", (F.coalesce("kept", F.lit(True)) & (F.col("id") == F.col("rep"))).alias("kept"))
 
 
 def near_duplicates(texts: DataFrame, id_col: str = "id", text: str = "text", bands: int = 8, threshold: float = 0.7, **options) -> DataFrame:
@@ -63,14 +114,15 @@ def near_duplicates(texts: DataFrame, id_col: str = "id", text: str = "text", ba
     return members.join(parts.withColumnRenamed("node", "rep"), "rep", "left").select("id", F.coalesce("component", "rep").alias("duplicate_of"))
 
 
-def greedy_keep(nodes: DataFrame, links: DataFrame, max_rounds: int = 100) -> DataFrame:
+def greedy_keep(nodes: DataFrame, links: DataFrame) -> DataFrame:
     """(id, kept): the set that keeping in order of id and dropping what links to a kept one gives.
 
-    Each round keeps every undecided node without an undecided smaller neighbour and drops the larger neighbours of those.
+    Each round keeps every undecided node without an undecided smaller neighbour and drops the larger neighbours of those,
+    so each settles the least undecided node at least.
     """
     edges = materialize(links.select(F.least("src", "dst").alias("lo"), F.greatest("src", "dst").alias("hi")).where("lo <> hi").distinct(), "greedy-links")
     state = materialize(nodes.select("id", F.lit(None).cast("boolean").alias("kept")), "greedy")
-    for _ in range(max_rounds):
+    while True:
         open_ = state.where("kept is null").select("id")
         live = edges.join(open_.withColumnRenamed("id", "lo"), "lo", "left_semi").join(open_.withColumnRenamed("id", "hi"), "hi", "left_semi")
         keep = open_.join(live.select(F.col("hi").alias("id")).distinct(), "id", "left_anti")
@@ -81,4 +133,3 @@ def greedy_keep(nodes: DataFrame, links: DataFrame, max_rounds: int = 100) -> Da
         state = new
         if not state.where("kept is null").take(1):
             return state
-    raise RuntimeError(f"not settled in {max_rounds} rounds")

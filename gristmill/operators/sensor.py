@@ -62,8 +62,10 @@ def stuck(w: DataFrame, alpha: float = 0.2, min_run: int = 10) -> DataFrame:
     The reference is the nearest-rank upper quartile of the deviations of windows that vary; null without one.
     """
     s = w.select("device", "channel", "window_start", std(F.col("readings")).alias("sd"), constant(F.col("readings")).alias("flat"))
-    healthy = s.where(~F.col("flat")).groupBy("device", "channel").agg(F.sort_array(F.collect_list("sd")).alias("all"))
-    ref = healthy.select("device", "channel", F.get("all", (0.75 * (F.size("all") - 1)).cast("int")).alias("ref"))
+    healthy = s.where(~F.col("flat")).groupBy("device", "channel", "sd").agg(F.count("*").alias("c"))
+    upto = Window.partitionBy("device", "channel").orderBy("sd")
+    placed = healthy.withColumn("hi", F.sum("c").over(upto)).withColumn("n", F.sum("c").over(Window.partitionBy("device", "channel")))
+    ref = placed.where("hi > floor(0.75 * (n - 1))").groupBy("device", "channel").agg(F.min("sd").alias("ref"))
     low = ~F.col("flat") & (F.col("sd") < alpha * F.col("ref"))
     order = Window.partitionBy("device", "channel").orderBy("window_start")
     d = s.join(ref, ["device", "channel"], "left").withColumn("low", F.coalesce(low, F.lit(False)))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gristmill.plans.store import materialize
+
 
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
@@ -52,6 +54,17 @@ def search(corpus: DataFrame, queries: list[tuple], k: int, block: int = 512) ->
     return topk(out, k)
 
 
+def search_rows(corpus: DataFrame, queries: DataFrame, k: int, block: int = 512) -> DataFrame:
+    """:func:`search` for the rows (id, vector) of ``queries``; they come to the driver a block at a time and each block's result is written."""
+    from itertools import islice
+
+    rows, out = queries.where(F.col("id").isNotNull() & F.col("vector").isNotNull()).select("id", "vector").toLocalIterator(), None
+    while part := [(r["id"], list(r["vector"])) for r in islice(rows, block)]:
+        one = materialize(search(corpus, part, k, block), "searched")
+        out = one if out is None else out.unionByName(one)
+    return out if out is not None else search(corpus, [], k, block)
+
+
 def topk(scored: DataFrame, k: int) -> DataFrame:
     """The k best of each query, ties to the smaller id; a group limit cuts each partition's rows before the shuffle."""
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")

@@ -97,17 +97,23 @@ def unit_mode(spark, sf):
     return sensor.usual_value(e, ["device"], "unit")
 
 
-@query("interval_join", "WITH p AS (SELECT user_id, ts AS s, ts + INTERVAL 6 HOUR AS e FROM events WHERE event_id % 97 = 0) SELECT event_id FROM events v WHERE EXISTS (SELECT 1 FROM p WHERE p.user_id = v.user_id AND v.ts >= s AND v.ts < e)")
+@query("interval_join", "WITH p AS (SELECT user_id, ts AS s, ts + INTERVAL 6 HOUR AS e FROM events WHERE event_type = 'signup') SELECT event_id FROM events v WHERE EXISTS (SELECT 1 FROM p WHERE p.user_id = v.user_id AND v.ts >= s AND v.ts < e)")
 def interval_join(spark, sf):
     e = table(spark, sf, "events")
-    p = e.where("event_id % 97 = 0").select(F.col("user_id").alias("u"), F.col("ts").alias("s"), (F.col("ts") + F.expr("INTERVAL 6 HOURS")).alias("t"))
+    p = e.where("event_type = 'signup'").select(F.col("user_id").alias("u"), F.col("ts").alias("s"), (F.col("ts") + F.expr("INTERVAL 6 HOURS")).alias("t"))
     return e.join(p, (F.col("user_id") == F.col("u")) & (F.col("ts") >= F.col("s")) & (F.col("ts") < F.col("t")), "left_semi").select("event_id")
 
 
-@query("fault_vs_maintenance")
+@query(
+    "fault_vs_maintenance",
+    _W
+    + """, p AS (SELECT user_id AS device, cast(ts as date) AS a, cast(ts as date) + 2 AS b FROM events WHERE event_type = 'signup'),
+st AS (SELECT device, window_start FROM w GROUP BY ALL HAVING count(*) >= 2 AND bool_and(list_max(readings) = list_min(readings)) AND NOT bool_or(list_min(readings) = -999 AND list_max(readings) = -999))
+SELECT device, channel, window_start, CASE WHEN list_min(readings) = -999 AND list_max(readings) = -999 THEN cast(EXISTS (SELECT 1 FROM p WHERE p.device = w.device AND window_start >= a AND window_start < b) as double) ELSE 1.0::double END AS score FROM w""",
+)
 def fault_vs_maintenance(spark, sf):
     e = table(spark, sf, "events")
-    plans = e.where("event_id % 97 = 0").select(F.col("user_id").alias("plan_device"), F.to_date("ts").alias("plan_start"), F.date_add(F.to_date("ts"), 2).alias("plan_end"))
+    plans = e.where("event_type = 'signup'").select(F.col("user_id").alias("plan_device"), F.to_date("ts").alias("plan_start"), F.date_add(F.to_date("ts"), 2).alias("plan_end"))
     return sensor.planned_faults(windows(spark, sf), plans)
 
 
@@ -115,7 +121,7 @@ def fault_vs_maintenance(spark, sf):
 def sensor_multivariate(spark, sf):
     w = windows(spark, sf).select("device", "channel", "window_start", sensor.mean(F.col("readings")).alias("m"))
     names = sorted(r[0] for r in w.select("channel").distinct().collect())
-    wide = w.groupBy(F.lit("user").alias("kind"), F.pmod("device", F.lit(5)).alias("device"), "window_start").pivot("channel", names).agg(F.avg("m"))
+    wide = w.groupBy(F.pmod("device", F.lit(7)).alias("kind"), F.pmod("device", F.lit(35)).alias("device"), "window_start").pivot("channel", names).agg(F.avg("m"))
     return sensor.multivariate(wide, "kind", "device", "window_start", names)
 
 
@@ -211,11 +217,10 @@ def map_explode(spark, sf):
 # ---------------------------------------------------------------- vectors and sampling
 
 
-@query("cosine_topk", "WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: cast(x as double)) AS v FROM embeddings), s AS (SELECT q.vec_id AS query_id, c.vec_id AS id, list_cosine_similarity(q.v, c.v) AS score FROM e q, e c WHERE q.vec_id < 20 AND c.vec_id <> q.vec_id) SELECT query_id, id, round(score, 6) AS score, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM s) WHERE rank <= 5")
+@query("cosine_topk", "WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: cast(x as double)) AS v FROM embeddings), s AS (SELECT q.vec_id AS query_id, c.vec_id AS id, list_cosine_similarity(q.v, c.v) AS score FROM e q, e c WHERE q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id) SELECT query_id, id, round(score, 6) AS score, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM s) WHERE rank <= 5")
 def cosine_topk(spark, sf):
     e = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
-    asked = [(r["id"], list(r["vector"])) for r in e.where("id < 20").collect()]
-    found = vectors.search(e, asked, 6).where("id <> query_id").drop("rank")
+    found = vectors.search_rows(e, e.where("id % 50 = 0"), 6).where("id <> query_id").drop("rank")
     return vectors.topk(found, 5).select("query_id", "id", F.round("score", 6).alias("score"), F.col("rank").cast("long").alias("rank"))
 
 
@@ -256,15 +261,9 @@ def text_minhash(spark, sf):
 
 @query("minhash_greedy")
 def minhash_greedy(spark, sf):
-    from gristmill.plans.store import materialize
-
     every = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")
     compared = F.coalesce(F.length("text") >= 8, F.lit(False))  # the reference compares no shorter texts, and keeps them
-    sigs = materialize(dedup.signatures(every.where(compared), num_perm=128), "signatures")
-    members, links = dedup.near_links(sigs, bands=16, threshold=0.65)
-    reps = dedup.greedy_keep(members.select(F.col("rep").alias("id")).distinct(), links)
-    found = members.join(reps.withColumnRenamed("id", "rep"), "rep").select("id", (F.col("kept") & (F.col("id") == F.col("rep"))).alias("kept"))
-    return found.unionByName(every.where(~compared).select("id", F.lit(True).alias("kept")))
+    return dedup.greedy_duplicates(every.where(compared)).unionByName(every.where(~compared).select("id", F.lit(True).alias("kept")))
 
 
 @query("alerts", "SELECT event_type AS kind, CASE WHEN user_id % 2 = 0 THEN 'even' ELSE 'odd' END AS dataset, CASE max(CASE WHEN value < 5 THEN 1 WHEN value < 50 THEN 2 ELSE 3 END) WHEN 1 THEN 'info' WHEN 2 THEN 'warning' ELSE 'error' END AS severity, count(*) AS n, max(ts) AS last_at FROM events GROUP BY ALL")
