@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from gristmill.plans import dataset_queries, event_queries, text_queries
+from gristmill.plans import dataset_queries, detection_queries, event_queries, text_queries, warehouse_queries
 
-QUERIES: dict = text_queries.Q | event_queries.Q | dataset_queries.Q
-ORACLES: dict[str, str] = text_queries.O | event_queries.O | dataset_queries.O
+_PARTS = (text_queries, event_queries, dataset_queries, detection_queries, warehouse_queries)
+QUERIES: dict = {k: v for part in _PARTS for k, v in part.Q.items()}
+ORACLES: dict[str, str] = {k: v for part in _PARTS for k, v in part.O.items()}
