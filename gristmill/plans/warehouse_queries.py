@@ -84,10 +84,10 @@ def ods_samples(spark, sf):
     return warehouse.ods(d, X._funnel(spark, sf), "doc_id", F.coalesce("lang", F.lit("unknown"))).drop("scores_json")
 
 
-@query("ods_increment", "SELECT event_type, count(*) AS n FROM events WHERE cast(ts as date) NOT IN (SELECT cast(ts as date) FROM events WHERE event_type = 'signup' AND value < 0.05) GROUP BY 1")
+@query("ods_increment", "SELECT event_type, count(*) AS n FROM events WHERE cast(ts as date) NOT IN (SELECT cast(ts as date) FROM events WHERE event_type = 'signup' AND value < 0.2) GROUP BY 1")
 def ods_increment(spark, sf):
     e = table(spark, sf, "events").select("event_type", "value", F.to_date("ts").alias("day"))
-    return warehouse.missing_days(e, e.where("event_type = 'signup' and value < 0.05"), "day").groupBy("event_type").agg(F.count("*").alias("n"))
+    return warehouse.missing_days(e, e.where("event_type = 'signup' and value < 0.2"), "day").groupBy("event_type").agg(F.count("*").alias("n"))
 
 
 @query("dwd_match", E._OBS + ", j AS (SELECT c_custkey, version FROM customer LEFT JOIN d ON device = c_custkey AND valid_from <= date '1996-06-30' AND (valid_to IS NULL OR date '1996-06-30' < valid_to)) SELECT count(*) AS n_total, count(*) FILTER (WHERE c_custkey IS NULL) AS n_no_key, count(*) FILTER (WHERE c_custkey IS NOT NULL AND version IS NULL) AS n_unmatched FROM j")
