@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from gristmill.functions.buffers import flat_bytes
 from gristmill.llm import ctw, langid, quality
@@ -53,18 +54,21 @@ def brute_ctw(train, score, depth):
     return [sum(after(*w) - weighted((b"", w[1])) for w in walk(x)) / math.log(10) for x in score]
 
 
-def test_ctw_is_the_definition(spark):
-    train, score = ["hello world", "abab abab ab", "", "HELLO"], ["hello", "abc world", "", "zé"]
-    docs = spark.createDataFrame([(i, t) for i, t in enumerate(train)], "doc_id long, text string")
-    for depth in (3, 5):
-        got = ctw.train(docs, depth=depth).score(*flat_bytes(pa.array([t.lower() for t in score]))) / math.log(10)
-        assert np.allclose(got, brute_ctw([t.lower().encode() for t in train], [t.encode() for t in score], depth), atol=1e-5)
+@pytest.mark.parametrize(("depth", "most"), [(5, ctw.FREQUENT_STRINGS), (5, 20), (3, 0), (1, 4)])
+def test_ctw_is_the_definition(spark, depth, most):
+    train, score = ["hello world", "abab abab ab", "", "HELLO"], ["hello", "abc world", "", "zé", None]
+    docs = spark.createDataFrame([(i, t, 1.0) for i, t in enumerate(train + score)], "doc_id long, text string, value double")
+    got = {r["doc_id"]: r for r in ctw.scores(docs, ctw.F.col("doc_id") < len(train), depth=depth, frequent_strings=most).collect()}
+    want = np.array(brute_ctw([t.lower().encode() for t in train], [(t or "").encode() for t in score], depth))
+    assert np.allclose([got[len(train) + i]["score"] for i in range(len(score))], want, atol=1e-9)
+    sizes = [len((t or "").encode()) + 1 for t in score]
+    assert np.allclose([got[len(train) + i]["bits_per_byte"] for i in range(len(score))], -want / math.log10(2) / sizes)
 
 
-def test_ctw_probabilities_sum_to_one(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    for most in (0, 50, ctw.MAX_CONTEXTS):
-        assert np.allclose(np.exp(ctw.train(docs, max_contexts=most).table.astype(float)).sum(1), 1, atol=1e-4)
+def test_ctw_without_texts(spark):
+    docs = spark.createDataFrame([(2, "ab")], "doc_id long, text string")
+    assert abs(ctw.scores(docs, ctw.F.lit(False)).first()["bits_per_byte"] - 8) < 1e-9
+    assert ctw.scores(docs.limit(0), ctw.F.lit(True)).collect() == []
 
 
 def test_base_scores(spark):
