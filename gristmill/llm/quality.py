@@ -1,17 +1,19 @@
 """Quality classification by co-training on two views of a page.
 
 The text view sees what is written (how characters, words and lines are distributed and how much
-repeats), the metadata view what is known of the page (source, language, size, lines). Each is a
-logistic regression. They start from the labelled documents; in every round each view gives its
-most confident judgements of a pool of unlabelled documents to the other as pseudo-labels, in the
-labels' proportion, and both are fitted again. Each view is then calibrated on labelled documents
+repeats), the metadata view what is known of the page without reading it (source, language, size).
+Each is a logistic regression. They start from the labelled documents; in every round each view
+judges all unlabelled documents, gives the most confident judgements to the other as pseudo-labels, in
+the labels' proportion, and both are fitted again. Each view is then calibrated on labelled documents
 kept aside, the calibrated views are combined by a logistic regression on their log-odds, and all
 documents are scored.
 
-Fitting uses a bounded, hash-chosen sample: ``max_labelled`` labelled documents and ``max_pool``
-unlabelled ones; every text is scored whole.
+Fitting uses a bounded, hash-chosen sample of ``max_labelled`` labelled documents. The features of all
+unlabelled ones are written once; a round scores them where they lie and only the ``give`` best of
+each view come to the driver. Every text is read whole, very long ones in cuts.
 
-Edge cases: a null text is empty; without labels of both kinds every document scores 1 and is kept;
+Edge cases: a null text is empty; documents without an id are scored but not learned from; ties in
+confidence go to the smaller id; an empty table gives an empty result; without labels of both kinds every document scores 1 and is kept;
 null source, language or size are values of their own; of repeated labels the lowest counts;
 repeated rows score alike; extra columns are ignored by :func:`score` and kept by :func:`keep`.
 """
@@ -23,13 +25,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gristmill.plans.store import materialize
+from gristmill.plans.store import discard, materialize
 
 MAX_LABELLED = 8000
-MAX_POOL = 4000
 ROUNDS = 4
 GIVE = 200
 KEEP_AT = 0.5
@@ -69,14 +70,14 @@ def text_features(text: str | None) -> np.ndarray:
     )
 
 
-def page_features(source: str | None, lang: str | None, size: int | None, lines: int, words: int) -> np.ndarray:
+def page_features(source: str | None, lang: str | None, size: int | None) -> np.ndarray:
     """What the metadata view sees of a page."""
-    out = np.zeros(2 * _BUCKETS + 24)
+    out = np.zeros(2 * _BUCKETS + 22)
     out[zlib.crc32(f"s{source}".encode()) % _BUCKETS] = 1
     out[_BUCKETS + zlib.crc32(f"l{lang}".encode()) % _BUCKETS] = 1
     level = np.log1p(max(0, size or 0))
     out[2 * _BUCKETS + min(19, int(level * 1.5))] = 1
-    out[-4:] = level, np.log1p(lines), (size or 0) / max(1, words) / 10, float(size is None)
+    out[-2:] = level, float(size is None)
     return out
 
 
@@ -122,30 +123,91 @@ class CoTrained:
         return sigmoid(odds[0]), sigmoid(odds[1]), sigmoid(self.combination.odds(np.column_stack(odds)))
 
 
-def co_train(labelled: tuple[np.ndarray, np.ndarray], y: np.ndarray, pool: tuple[np.ndarray, np.ndarray], rounds: int = ROUNDS, give: int = GIVE, seed: int = 0) -> CoTrained:
+class ArrayPool:
+    """Unlabelled features in memory; :func:`co_train` draws from it or from a :class:`TablePool`."""
+
+    def __init__(self, x: np.ndarray, p: np.ndarray):
+        self.x, self.left = (x, p), np.arange(len(x))
+
+    def draw(self, views: tuple[Logistic, Logistic], low: int, high: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        out, taken = [], []
+        for v in (0, 1):
+            at, y = confident(views[v].odds(self.x[v][self.left]), self.left, low, high)
+            out.append((self.x[0][at], self.x[1][at], y))
+            taken.append(at)
+        self.left = np.setdiff1d(self.left, np.concatenate(taken))
+        return out
+
+
+def confident(odds: np.ndarray, ids: np.ndarray, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, labels) of the ``low`` least and ``high`` greatest odds among those under 0.1 or over 0.9."""
+    p = sigmoid(odds)
+    down, up = np.flatnonzero(p < 0.1), np.flatnonzero(p > 0.9)
+    down, up = down[np.lexsort((ids[down], odds[down]))][:low], up[np.lexsort((ids[up], -odds[up]))][:high]
+    return ids[np.concatenate([down, up])], np.repeat([0.0, 1.0], [len(down), len(up)])
+
+
+class TablePool:
+    """Unlabelled features in a table (node, x, p); each task passes on its own most confident rows, and the best of all come to the driver."""
+
+    def __init__(self, table: DataFrame):
+        self.table, self.used = table, np.zeros(0, np.int64)
+
+    def draw(self, views: tuple[Logistic, Logistic], low: int, high: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        shared = self.table.sparkSession.sparkContext.broadcast((views, self.used))
+
+        def run(batches):
+            views, used = shared.value
+            for batch in batches:
+                free = np.flatnonzero(~np.isin(batch.column(0).to_numpy(), used))
+                if not len(free):
+                    continue
+                ids, x = batch.column(0).to_numpy()[free], [_rows(batch.column(i), free) for i in (1, 2)]
+                for v in (0, 1):
+                    odds = views[v].odds(x[v])
+                    for side, (l, h) in enumerate(((low, 0), (0, high))):
+                        chosen, _ = confident(odds, ids, l, h)
+                        at = np.flatnonzero(np.isin(ids, chosen))
+                        take = pa.array(free[at])
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), v, np.int32)), pa.array(np.full(len(at), side, np.int32)), pa.array(odds[at] if side == 0 else -odds[at]), *(batch.column(i).take(take) for i in range(3))], ["view", "side", "rank", "node", "x", "p"])
+
+        found = self.table.select("node", "x", "p").mapInArrow(run, "view int, side int, rank double, node long, x binary, p binary").dropDuplicates(["view", "side", "node"])
+        place = F.row_number().over(Window.partitionBy("view", "side").orderBy("rank", "node"))
+        best = found.withColumn("place", place).where(F.col("place") <= F.when(F.col("side") == 0, low).otherwise(high)).toArrow()  # twice ``give`` rows
+        view, side, node = (best[c].to_numpy() for c in ("view", "side", "node"))
+        out = []
+        for v in (0, 1):
+            at = np.flatnonzero(view == v)
+            at = at[np.lexsort((node[at], side[at]))]
+            out.append((*(_rows(best[c].combine_chunks(), at) for c in ("x", "p")), side[at].astype(float)))
+        self.used = np.union1d(self.used, node)
+        shared.destroy()
+        return out
+
+
+def _rows(column: pa.Array, rows: np.ndarray) -> np.ndarray:
+    raw = column.take(pa.array(rows, pa.int64())).to_pylist()
+    return np.frombuffer(b"".join(raw), np.float32).reshape(len(raw), -1).astype(np.float64) if raw else np.zeros((0, 1))
+
+
+def co_train(labelled: tuple[np.ndarray, np.ndarray], y: np.ndarray, pool, rounds: int = ROUNDS, give: int = GIVE, seed: int = 0) -> CoTrained:
     """Fit both views. A quarter of the labels is kept aside for calibration."""
+    pool = ArrayPool(*pool) if isinstance(pool, tuple) else pool
     aside = np.random.default_rng(seed).random(len(y)) < 0.25
     if len(set(y[aside].tolist())) < 2 or len(set(y[~aside].tolist())) < 2:
         aside = np.zeros(len(y), bool)
     own = [(x[~aside], y[~aside]) for x in labelled]
     views = [Logistic().fit(*o) for o in own]
     share = float(y[~aside].mean())
-    left = np.arange(len(pool[0]))
     for _ in range(rounds):
-        if not len(left):
+        given = pool.draw(tuple(views), round(give * (1 - share)), round(give * share))
+        if not any(len(g[2]) for g in given):
             break
-        given = []
-        for v in (0, 1):
-            odds = views[v].odds(pool[v][left])
-            order = np.argsort(odds, kind="stable")
-            low, high = order[: round(give * (1 - share))], order[::-1][: round(give * share)]
-            low, high = low[sigmoid(odds[low]) < 0.1], high[sigmoid(odds[high]) > 0.9]  # confident ones alone
-            given.append((left[np.concatenate([low, high])], np.repeat([0.0, 1.0], [len(low), len(high)])))
         for v in (0, 1):
-            at, said = given[1 - v]
-            own[v] = (np.concatenate([own[v][0], pool[v][at]]), np.concatenate([own[v][1], said]))
-            views[v] = Logistic().fit(*own[v])
-        left = np.setdiff1d(left, np.concatenate([given[0][0], given[1][0]]))
+            said = given[1 - v]
+            if len(said[2]):
+                own[v] = (np.concatenate([own[v][0], said[v]]), np.concatenate([own[v][1], said[2]]))
+                views[v] = Logistic().fit(*own[v])
     held = aside if aside.any() else np.ones(len(y), bool)
     calibration = [Logistic().fit(v.odds(x[held])[:, None], y[held]) for v, x in zip(views, labelled, strict=True)]
     odds = np.column_stack([c.odds(v.odds(x[held])[:, None]) for v, c, x in zip(views, calibration, labelled, strict=True)])
@@ -154,9 +216,7 @@ def co_train(labelled: tuple[np.ndarray, np.ndarray], y: np.ndarray, pool: tuple
 
 def _features(text, source, lang, size) -> tuple[np.ndarray, np.ndarray]:
     x = [text_features(t) for t in text]
-    lines = [t.count("\n") + 1 if t else 0 for t in text]
-    words = [max(1, round(np.expm1(v[_CLASSES + 8]))) for v in x]
-    p = [page_features(*v) for v in zip(source, lang, size, lines, words, strict=True)]
+    p = [page_features(*v) for v in zip(source, lang, size, strict=True)]
     return np.array(x).reshape(len(x), -1), np.array(p).reshape(len(p), -1)
 
 
@@ -166,31 +226,38 @@ def _view(docs: DataFrame, key: str) -> DataFrame:
     return docs.select(F.col(key), column("text", "string"), column("source", "string"), column("lang", "string"), column("n_chars", "long"))
 
 
-def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", quality: str = "quality", max_labelled: int = MAX_LABELLED, max_pool: int = MAX_POOL, rounds: int = ROUNDS, seed: int = 0) -> CoTrained | None:
+def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", quality: str = "quality", max_labelled: int = MAX_LABELLED, rounds: int = ROUNDS, give: int = GIVE, seed: int = 0) -> CoTrained | None:
     """Learn from ``labels`` (key, quality 0 or 1); None if they are not of both kinds."""
     known = labels.where(F.col(key).isNotNull() & F.col(quality).isin(0, 1)).groupBy(key).agg(F.min(quality).cast("double").alias("y"))
-    ids = materialize(docs.where(F.col(key).isNotNull()).select(key).distinct().join(known, key, "left"), "labelled")
-    n = ids.agg(F.count("y").alias("labelled"), F.count(F.when(F.col("y").isNull(), 1)).alias("free")).first()
+    ids = materialize(docs.where(F.col(key).isNotNull()).select(key).distinct().join(known, key), "labelled")
+    n = ids.count()
     draw = F.pmod(F.xxhash64(F.col(key), F.lit(seed), F.lit("quality")), F.lit(1 << 30)) / float(1 << 30)
-    rate = F.when(F.col("y").isNotNull(), F.lit(min(1.0, max_labelled / max(1, n["labelled"])))).otherwise(F.lit(min(1.0, max_pool / max(1, n["free"]))))
-    chosen = ids.where(draw < rate)
+    chosen = ids.where(draw < min(1.0, max_labelled / max(1, n)))
 
     def run(batches):
         for batch in batches:
-            x, p = _features(*(batch.column(i).to_pylist() for i in (1, 2, 3, 4)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(list(x), pa.list_(pa.float64())), pa.array(list(p), pa.list_(pa.float64())), batch.column(5)], [key, "x", "p", "y"])
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                x, p = _features(*(part.column(i).to_pylist() for i in (1, 2, 3, 4)))
+                yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array([r.astype(np.float32).tobytes() for r in m], pa.binary()) for m in (x, p))], ["node", "x", "p"])
 
-    kind = docs.schema[key].dataType.simpleString()
-    sample = _view(docs, key).join(F.broadcast(chosen), key).mapInArrow(run, f"{key} {kind}, x array<double>, p array<double>, y double").toArrow()  # max_labelled + max_pool rows
+    plain = _view(docs.where(F.col(key).isNotNull()), key)
+    marked = plain.join(F.broadcast(chosen), key).withColumn("node", F.xxhash64(key))  # max_labelled rows or about
+    sample = marked.select("node", "text", "source", "lang", "n_chars").mapInArrow(run, "node long, x binary, p binary").join(F.broadcast(chosen.select(F.xxhash64(key).alias("node"), "y")), "node").toArrow()
     if not sample.num_rows:
         return None
-    sample = sample.sort_by(key)
-    x, p = (np.array(sample[c].to_pylist()) for c in ("x", "p"))
-    y = np.array([np.nan if v is None else v for v in sample["y"].to_pylist()])
-    has = ~np.isnan(y)
-    if len(set(y[has].tolist())) < 2:
+    sample = sample.sort_by("node")
+    every = np.arange(sample.num_rows)
+    x, p = (_rows(sample[c].combine_chunks(), every) for c in ("x", "p"))
+    y = sample["y"].to_numpy()
+    if len(set(y.tolist())) < 2:
         return None
-    return co_train((x[has], p[has]), y[has], (x[~has], p[~has]), rounds, seed=seed)
+    free = plain.join(known.select(key), key, "left_anti").withColumn("node", F.xxhash64(key))
+    table = materialize(free.select("node", "text", "source", "lang", "n_chars").mapInArrow(run, "node long, x binary, p binary"), "unlabelled")
+    model = co_train((x, p), y, TablePool(table), rounds, give, seed)
+    discard(table)
+    discard(ids)
+    return model
 
 
 def score(docs: DataFrame, model: CoTrained | None, key: str = "doc_id", keep_at: float = KEEP_AT) -> DataFrame:
