@@ -19,6 +19,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not known:
         known = spark.conf.get("spark.checkpoint.dir", None)
     if not known:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         known = "file://" + tempfile.mkdtemp(prefix="gristmill-")
         spark.conf.set("spark.checkpoint.dir", known)
     return known.rstrip("/")
