@@ -242,8 +242,9 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", quality: str
                 yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array([r.astype(np.float32).tobytes() for r in m], pa.binary()) for m in (x, p))], ["node", "x", "p"])
 
     plain = _view(docs.where(F.col(key).isNotNull()), key)
-    marked = plain.join(F.broadcast(chosen), key).withColumn("node", F.xxhash64(key))  # max_labelled rows or about
-    sample = marked.select("node", "text", "source", "lang", "n_chars").mapInArrow(run, "node long, x binary, p binary").join(F.broadcast(chosen.select(F.xxhash64(key).alias("node"), "y")), "node").toArrow()
+    features = plain.withColumn("node", F.xxhash64(key)).select("node", "text", "source", "lang", "n_chars").mapInArrow(run, "node long, x binary, p binary")
+    features = materialize(features, "features")  # so that no text is shuffled
+    sample = features.join(F.broadcast(chosen.select(F.xxhash64(key).alias("node"), "y")), "node").toArrow()  # max_labelled rows or about
     if not sample.num_rows:
         return None
     sample = sample.sort_by("node")
@@ -252,8 +253,8 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", quality: str
     y = sample["y"].to_numpy()
     if len(set(y.tolist())) < 2:
         return None
-    free = plain.join(known.select(key), key, "left_anti").withColumn("node", F.xxhash64(key))
-    table = materialize(free.select("node", "text", "source", "lang", "n_chars").mapInArrow(run, "node long, x binary, p binary"), "unlabelled")
+    table = materialize(features.join(known.select(F.xxhash64(key).alias("node")), "node", "left_anti"), "unlabelled")
+    discard(features)
     model = co_train((x, p), y, TablePool(table), rounds, give, seed)
     discard(table)
     discard(ids)
