@@ -33,6 +33,12 @@ def split_leakage(spark, sf):
     return dataset.cross_leaks(d, "doc_id", "text", "split")
 
 
+@query("split_near_leakage")
+def split_near_leakage(spark, sf):
+    d = table(spark, sf, "documents").select("doc_id", "text", dataset.split(F.col("doc_id").cast("string"), 0.1, 0.1).alias("split"))
+    return dataset.near_leaks(d, "doc_id", "text", "split")
+
+
 @query("decontamination")
 def decontamination(spark, sf):
     return dataset.decontaminate(table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text"), table(spark, sf, "benchmark").select(F.col("item_id").alias("id"), "text"))
