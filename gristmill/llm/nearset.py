@@ -7,13 +7,14 @@ on the whole sets. Equal sets are one vertex, so copies never multiply.
 
 Candidates come in two steps, so that a large group is not compared pair by pair. First each
 vertex is compared with the pivot of each of its buckets, the member that shares most with others.
-Then members of different components around one pivot are compared where what is known of them
-and the pivot leaves a link possible. Let a member of n shingles share i of them with the pivot.
-Two members that are similar by s share at least s / (1 + s) of both their sizes together, and at
-most the smaller i lies within the pivot. So either that is enough, which bounds the other's size
-by (1 + s) / s * i - n, or they share a shingle outside the pivot, and then one of the first
-(1 - s) * n + 1 of those (prefix filter). The first kind is found by a join on classes of size, the
-second by one on shingles; nothing else can be a link, so none is lost.
+Then members of different components around one pivot are compared by what is known of them: which
+of the pivot's shingles each holds, as bits, and its shingles outside the pivot. Two sets that are
+similar by s share at least s / (1 + s) of both their sizes together. What two members share within
+the pivot is counted exactly. If they share a shingle outside, then one of the first (1 - s) * n + 1
+of each (prefix filter); where these are all, they are counted exactly, else the most possible is
+assumed. Nothing else can be a link, so none is lost, and hardly a pair that is none is handed on.
+This is done by matrix products over blocks of members, so that no pair is written that cannot be a
+link; the work in one group still grows with the square of its size.
 
 Edge cases: null and empty texts and texts without a word are one empty set and equal; fewer words
 than a shingle's make one shingle; rows without an id are left out of components and kept by
@@ -35,6 +36,7 @@ from gristmill.plans.store import discard, materialize
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 32, 5
+BLOCK_ROWS, BLOCK_SHINGLES = 1024, 4096  # members of a pivot, and shingles outside it of each, that are compared at once
 _AT_ONCE = 512
 _rng = np.random.default_rng(42)
 _FLIP, _TIMES = (_rng.integers(0, 1 << 64, BANDS * ROWS, dtype=np.uint64)[:, None] for _ in range(2))
@@ -129,7 +131,7 @@ def verified(pairs: DataFrame, sets, similarity: float) -> DataFrame:
 
 
 def measured(pairs: DataFrame, sets, similarity: float) -> DataFrame:
-    """(src, dst, linked, size, common, outside) of the distinct ``pairs``: dst's size, what it shares with src, and the first of its shingles that src lacks."""
+    """(src, dst, linked, size, common, outside, holds) of the distinct ``pairs``: dst's size, what it shares with src, the first of its shingles that src lacks, and a bit for each of src's shingles that it holds."""
     joined, known = _with_sets(materialize(pairs.distinct(), "candidates"), sets)
 
     def run(batches):
@@ -139,35 +141,107 @@ def measured(pairs: DataFrame, sets, similarity: float) -> DataFrame:
                 a, b = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
                 lacks = np.setdiff1d(b, a, assume_unique=True)
                 first = lacks[: int((1 - similarity) * len(b) + 1e-6) + 1]
-                rows.append((similar(a, b, similarity), len(b), len(b) - len(lacks), first.view(np.int64)))
-            columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.bool_(), pa.int64(), pa.int64(), pa.list_(pa.int64())))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["src", "dst", "linked", "size", "common", "outside"])
+                holds = np.packbits(np.isin(a, b, assume_unique=True)).tobytes()
+                rows.append((similar(a, b, similarity), len(b), len(b) - len(lacks), first.view(np.int64), holds))
+            columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.bool_(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["src", "dst", "linked", "size", "common", "outside", "holds"])
 
-    out = materialize(joined.mapInArrow(run, "src long, dst long, linked boolean, size long, common long, outside array<long>"), "measured-pairs")
+    out = materialize(joined.mapInArrow(run, "src long, dst long, linked boolean, size long, common long, outside array<long>, holds binary"), "measured-pairs")
     discard(known)
     return out
 
 
-def possible(around: DataFrame, similarity: float) -> DataFrame:
-    """(src, dst) that may be links of different components among the members of each pivot; ``around`` is (pivot, node, component, linked, size, common, outside)."""
-    # a shared shingle outside the pivot; those outside its largest component meet all others
-    held = around.select("pivot", F.explode("outside").alias("shingle"), "node", "component")
-    shares = held.groupBy("pivot", "shingle", "component").agg(F.count("*").alias("n"))
-    main = shares.groupBy("pivot", "shingle").agg(F.max(F.struct("n", "component"))["component"].alias("main"), F.count("*").alias("parts")).where("parts > 1").select("pivot", "shingle", "main")
-    mixed = materialize(held.join(main, ["pivot", "shingle"]), "mixed-shingles")
-    stray = mixed.where("component <> main").select("pivot", "shingle", F.col("node").alias("s"), F.col("component").alias("c"))
-    by_shingle = stray.join(mixed, ["pivot", "shingle"]).where("c <> component and (component = main or s < node)").select("s", "node")
-    # enough within the pivot: a class of sizes is one per cent wide
-    most = (1 + similarity) / similarity * F.col("common") - F.col("size") + 1e-6
-    sized = around.withColumn("most", most).where(F.col("most") >= similarity * F.col("size") - 1e-6)
-    place = lambda size: F.floor(F.log(F.greatest(size, F.lit(1.0))) / F.log(F.lit(1.01)))
-    reach = sized.where("not linked").select(
-        "pivot", F.col("node").alias("s"), F.col("component").alias("c"), F.col("size").alias("s_size"), F.col("most").alias("s_most"),
-        F.explode(F.sequence(place(similarity * F.col("size") - 1e-6), place(F.col("most")))).alias("class"),
-    )
-    others = sized.select("pivot", "node", "component", "size", "most", place(F.col("size")).alias("class"))
-    by_size = reach.join(others, ["pivot", "class"]).where("c <> component and size <= s_most and s_size <= most").select("s", "node")
-    return by_shingle.unionByName(by_size).select(F.least("s", "node").alias("src"), F.greatest("s", "node").alias("dst")).distinct()
+def _together(parts: list[np.ndarray], width: int = 4096) -> np.ndarray:
+    """How many values each two of the sets share."""
+    n = len(parts)
+    out = np.zeros((n, n), np.float32)
+    member = np.repeat(np.arange(n), [len(p) for p in parts])
+    if not len(member):
+        return out
+    _, first, place, many = np.unique(np.concatenate(parts), return_index=True, return_inverse=True, return_counts=True)
+    keep = many[place] > 1
+    member, place = member[keep], first[place[keep]]  # values in the order of their first member, so that those of one few members lie together
+    _, place = np.unique(place, return_inverse=True)
+    order = np.argsort(place, kind="stable")
+    member, place = member[order], place[order]
+    for at in range(0, int(place[-1]) + 1 if len(place) else 0, width):
+        own = slice(*np.searchsorted(place, [at, at + width]))
+        rows, row = np.unique(member[own], return_inverse=True)
+        grid = np.zeros((len(rows), width), np.float32)
+        grid[row, place[own] - at] = 1
+        out[np.ix_(rows, rows)] += grid @ grid.T
+    return out
+
+
+def _both_hold(holds: list[bytes], width: int = 512) -> np.ndarray:
+    """How many of the pivot's shingles each two members share, from their bits."""
+    bits = np.frombuffer(b"".join(holds), np.uint8).reshape(len(holds), -1)
+    out = np.zeros((len(holds), len(holds)), np.float32)
+    for at in range(0, bits.shape[1], width):
+        grid = np.unpackbits(bits[:, at : at + width], axis=1).astype(np.float32)
+        out += grid @ grid.T
+    return out
+
+
+def _meetings(part: dict[str, list], similarity: float) -> list[tuple[int, int]]:
+    """(row, row) of the members of one pivot that may be links of different components; of links that are certain, those of a spanning forest."""
+    size, common = (np.array(part[k], np.float32) for k in ("size", "common"))
+    outside = [np.array(x, np.int64) for x in part["outside"]]
+    _, component = np.unique(np.array(part["component"], np.int64), return_inverse=True)
+    block = np.array(part["block"], np.int64)
+    rest = size - common
+    listed = np.array([len(x) for x in outside]) == rest
+    certain = listed[:, None] & listed & ("holds" in part)
+    shared = _together(outside)
+    most = np.where(listed[:, None] & listed, shared, np.where(shared > 0, np.minimum(rest[:, None], rest), 0))
+    del shared
+    most += _both_hold(part["holds"]) if "holds" in part else np.minimum(common[:, None], common)
+    need = similarity / (1 + similarity) * (size[:, None] + size)
+    certain &= most >= need * (1 + 1e-6)
+    yes = most >= need * (1 - 1e-6) - 1e-2
+    yes &= component[:, None] != component
+    if len(set(part["low"] + part["high"])) > 1:
+        yes &= block[:, None] != block
+    yes = np.triu(yes)
+    root = list(range(len(size)))
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    out = []
+    i, j = np.nonzero(yes & certain)
+    _, one = np.unique(component[i] * len(size) + component[j], return_index=True)
+    for i, j in zip(i[one].tolist(), j[one].tolist(), strict=True):
+        if (a := find(component[i])) != (b := find(component[j])):
+            root[a] = b
+            out.append((i, j))
+    whole = np.array([find(c) for c in component])
+    i, j = np.nonzero(yes & ~certain & (whole[:, None] != whole))
+    return out + list(zip(i.tolist(), j.tolist(), strict=True))
+
+
+def possible(around: DataFrame, similarity: float, rows: int = BLOCK_ROWS) -> DataFrame:
+    """(src, dst) that may be links of different components among the members of each pivot and connect all that are.
+
+    ``around`` is (pivot, node, component, linked, size, common, outside), with the bits ``holds``
+    where known. The members of a pivot are compared in blocks of about ``rows``, each two blocks in a task.
+    """
+    loads = around.groupBy("pivot").agg(F.greatest(F.count("*") / rows, F.sum(F.size("outside")) / (rows * BLOCK_SHINGLES)).alias("load"))
+    dealt = around.join(loads.select("pivot", F.ceil("load").cast("int").alias("blocks")), "pivot").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    pairs = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.greatest(F.col("blocks"), F.lit(1)) - 1)))
+    names = ["component", "size", "common", "outside", "block", "low", "high", *(["holds"] if "holds" in around.columns else [])]
+    pairs = pairs.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other")).select("pivot", "node", *names)
+
+    def run(table: pa.Table) -> pa.Table:
+        node = table.column("node").to_pylist()
+        found = _meetings({k: table.column(k).to_pylist() for k in names}, similarity)
+        ends = [sorted((node[i], node[j])) for i, j in found]
+        return pa.table([pa.array([e[k] for e in ends], pa.int64()) for k in (0, 1)], ["src", "dst"])
+
+    return pairs.groupBy("pivot", "low", "high").applyInArrow(run, "src long, dst long").distinct()
 
 
 def links(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
@@ -189,7 +263,7 @@ def links(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str = "t
     near = measured(pairs, sets, similarity)
     first = near.where("linked").select("src", "dst")
     part = connected_components(first)
-    placed = near.join(part.withColumnRenamed("node", "dst"), "dst", "left").select(F.col("src").alias("pivot"), F.col("dst").alias("node"), F.coalesce("component", "dst").alias("component"), "linked", "size", "common", "outside")
+    placed = near.join(part.withColumnRenamed("node", "dst"), "dst", "left").select(F.col("src").alias("pivot"), F.col("dst").alias("node"), F.coalesce("component", "dst").alias("component"), "linked", "size", "common", "outside", "holds")
     several = placed.groupBy("pivot").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("pivot")
     met = possible(materialize(placed.join(several, "pivot"), "around-pivots"), similarity)
     done = near.select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst"))

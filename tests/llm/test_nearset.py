@@ -69,3 +69,37 @@ def test_possible_holds_every_link_around_a_pivot(spark):
     assert wanted <= found
     assert len(found) < len(sets) * (len(sets) - 1) // 2
     assert not nearset.possible(around.limit(0), 0.8).collect()
+
+
+def test_a_group_around_a_pivot_does_not_become_all_its_pairs(spark):
+    """Members that are less than 0.8 like the pivot and share some of few possible changes: only links, or what connects them, are handed on."""
+    rng = np.random.default_rng(3)
+    pivot = np.unique(rng.integers(0, 1 << 63, 200).astype(np.uint64))
+    changes = rng.integers(0, 1 << 63, (40, 5)).astype(np.uint64)
+    sets = []
+    for k in range(160):
+        own = rng.choice(40, 5, replace=False) if k % 8 else sorted(rng.choice(40, 5, replace=False))
+        sets.append(np.unique(np.concatenate([np.delete(pivot, [5 * c + i for c in own for i in range(5)]), *changes[own]])))
+        if not k % 8:
+            sets.append(sets[-1][1:])  # a link of its own
+
+    shared = lambda a, b: len(np.intersect1d(a, b))
+    rows = []
+    for i, s in enumerate(sets):
+        out = np.setdiff1d(s, pivot)
+        rows.append((-5, i, i, False, len(s), len(s) - len(out), out[: int(0.2 * len(s) + 1e-6) + 1].view(np.int64).tolist(), np.packbits(np.isin(pivot, s)).tobytes()))
+    around = spark.createDataFrame(rows, "pivot long, node long, component long, linked boolean, size long, common long, outside array<long>, holds binary")
+    links = {(i, j) for j in range(len(sets)) for i in range(j) if 1.8 * shared(sets[i], sets[j]) >= 0.8 * (len(sets[i]) + len(sets[j]))}
+
+    def parts(pairs):
+        label = list(range(len(sets)))
+        for _ in label:
+            for i, j in pairs:
+                label[i] = label[j] = min(label[i], label[j])
+        return label
+
+    assert 20 <= len(links) < 2000
+    for size in (1024, 30):  # in one block, and in several
+        found = {tuple(r) for r in nearset.possible(around, 0.8, size).collect()}
+        assert found <= links and len(found) < 2 * len(sets)
+        assert parts(found) == parts(links)
