@@ -1,8 +1,8 @@
 """From raw documents to packed training sequences.
 
 Stages, each on all that its predecessor kept: the quality classifier and language
-identification reject documents, near-deduplication (five-word shingles, similarity 0.8 or more,
-verified) keeps the document with the smallest id of each group, repeated passages are removed
+identification reject documents, near-deduplication (SimHash anchors over five-word shingles,
+similarity 0.8 or more, verified) keeps the document with the smallest id of each group, repeated passages are removed
 from the texts, and what is left is packed.
 All but the last return the columns of ``documents``.
 """

@@ -1,12 +1,24 @@
-"""Near-duplicates by the Jaccard similarity of word shingles, verified exactly.
+"""Near-duplicates by SimHash anchor-point covering, verified by the Jaccard similarity of word shingles.
 
 A text is the set of its five-word shingles (lower-cased ASCII, split at ASCII white space, as in
-:mod:`gristmill.llm.simhash`). MinHash anchor tables give candidates: 32 bands of 5 minima miss a
-pair of similarity 0.8 with a probability of 3 in a million, and every candidate is then measured
-on the whole sets. Equal sets are one vertex, so copies never multiply.
+:mod:`gristmill.llm.simhash`). Its SimHash sums have 512 coordinates, each the number of shingles
+whose hash has that bit set less that of those whose has not; a fingerprint is their signs.
+
+Two sets of similarity 0.8 differ in 15 % of such signs, 10 of 64, too many for the covering of
+``op4_simhash`` (2 bits), which would need all its anchors within 10 bits. So there are further
+anchor tables: the sums are turned at random into blocks of 24 coordinates, and a set is at home at
+the nearest point of the (extended, binary) Golay code in each block, by the sums and not by their
+signs alone, which keeps what is known of how near each coordinate is to turning. A table's anchor
+is a pair of such points. Two sets of similarity 0.8 have the same nearest point in 27 % of the
+blocks (simulated). Blocks go in 66 threes, and each two of a three are a table, so 198 tables miss
+a pair of 0.8 with a probability of 2 in a million. Within an anchor the fingerprints are compared: a
+set with no other within 46 of 128 bits leaves it (6 standard deviations from the mean at 0.8).
+All other candidates are measured on the whole sets. Equal sets are one vertex, so copies never
+multiply. Sets that have nothing in common meet in one table of 16,777,216 anchors by chance, which
+are few candidates a set up to some million sets, and grow with the square of their number.
 
 Candidates come in two steps, so that a large group is not compared pair by pair. First each
-vertex is compared with the pivot of each of its buckets, the member that shares most with others.
+vertex is compared with the pivot of each of its anchors, the member that shares most with others.
 Then members of different components around one pivot are compared by what is known of them: which
 of the pivot's shingles each holds, as bits, and its shingles outside the pivot. Two sets that are
 similar by s share at least s / (1 + s) of both their sizes together. What two members share within
@@ -23,23 +35,26 @@ than a shingle's make one shingle; rows without an id are left out of components
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gristmill.llm.simhash import _LOWER, _WORDS
+from gristmill.llm.simhash import _LOWER, _WORDS, syndrome
 from gristmill.operators.graph import connected_components
 from gristmill.plans.store import discard, materialize
 
 SHINGLE = 5
 SIMILARITY = 0.8
-BANDS, ROWS = 32, 5
+SUMS, THREES, BLOCK = 512, 66, 24
+FAR, CROWD = 46, 4096  # differing bits of 128; sets at an anchor up to which these are compared
 BLOCK_ROWS, BLOCK_SHINGLES = 1024, 4096  # members of a pivot, and shingles outside it of each, that are compared at once
-_AT_ONCE = 512
+_AT_ONCE = 255
 _rng = np.random.default_rng(42)
-_FLIP, _TIMES = (_rng.integers(0, 1 << 64, BANDS * ROWS, dtype=np.uint64)[:, None] for _ in range(2))
+_FLIP, _TIMES = (_rng.integers(0, 1 << 64, SUMS // 64, dtype=np.uint64) for _ in range(2))
 _TIMES = _TIMES | np.uint64(1)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -58,26 +73,121 @@ def shingles(text: str | None, shingle: int = SHINGLE) -> np.ndarray:
     return np.unique(out)
 
 
-def bands(found: np.ndarray) -> list[int]:
-    """A key per band of minima of a set that is not empty."""
-    low = np.full(BANDS * ROWS, (1 << 64) - 1, np.uint64)
+def sums(found: np.ndarray) -> np.ndarray:
+    """The SimHash sums of a set."""
+    out = np.zeros(SUMS, np.int64)
     for at in range(0, len(found), _AT_ONCE):
-        low = np.minimum(low, ((found[None, at : at + _AT_ONCE] ^ _FLIP) * _TIMES).min(1))
-    raw = low.tobytes()
-    return [xxhash.xxh3_64_intdigest(raw[i : i + 8 * ROWS], i) for i in range(0, len(raw), 8 * ROWS)]
+        h = (found[at : at + _AT_ONCE, None] ^ _FLIP) * _TIMES
+        h ^= h >> np.uint64(32)
+        h *= _MIX
+        h ^= h >> np.uint64(29)
+        out += np.unpackbits(h.view(np.uint8), axis=1).sum(0, dtype=np.uint8)
+    return 2 * out - len(found)
+
+
+@functools.cache
+def _points() -> tuple[np.ndarray, np.ndarray]:
+    """(the random turns, one of each two opposite points of the extended Golay code)."""
+    turns = np.random.default_rng(24).standard_normal((SUMS, THREES * 3 * BLOCK), np.float32)
+    words = np.arange(2048, dtype=np.int64) << 11
+    words ^= syndrome(words)
+    signs = 2.0 * (words[:, None] >> np.arange(BLOCK - 1) & 1) - 1
+    return turns, np.concatenate([signs, signs.prod(1, keepdims=True)], 1).astype(np.float32).T
+
+
+def anchors(totals: np.ndarray) -> np.ndarray:
+    """An anchor per table for each row of SimHash sums."""
+    turns, points = _points()
+    blocks = (totals.astype(np.float32) @ turns).reshape(-1, BLOCK)
+    nearest = np.empty(len(blocks), np.int64)
+    for at in range(0, len(blocks), 1024):
+        part = blocks[at : at + 1024] @ points
+        best = np.abs(part).argmax(1)
+        nearest[at : at + 1024] = 2 * best + (part[np.arange(len(part)), best] < 0)
+    nearest = nearest.reshape(len(totals), THREES, 3)
+    pairs = np.stack([nearest[:, :, i] << 12 | nearest[:, :, j] for i, j in ((0, 1), (0, 2), (1, 2))], 2).reshape(len(totals), -1)
+    return (pairs | np.arange(3 * THREES) << 24).astype(np.uint32).view(np.int32)
 
 
 def prints(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """(key, node, bands array<long>): node is a digest of the set."""
+    """(key, node, low, high, anchors array<int>): node is a digest of the set, low and high are fingerprint bits; the empty set has no anchor."""
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
-            sets = (shingles(t.as_py(), shingle) for t in batch.column(1))
-            out = [(_digest(s), np.array(bands(s) if len(s) else [], np.uint64).view(np.int64)) for s in sets]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([n for n, _ in out], pa.int64()), pa.array([k for _, k in out], pa.list_(pa.int64()))], [key, "node", "bands"])
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                sets = [shingles(t.as_py(), shingle) for t in part.column(1)]
+                totals = np.stack([sums(s) for s in sets])
+                signs = np.packbits(totals[:, :128] > 0, axis=1).view(np.int64)
+                starts = np.cumsum([0, *(3 * THREES * (len(s) > 0) for s in sets)])
+                homes = anchors(totals[[len(s) > 0 for s in sets]]).reshape(-1)
+                columns = [pa.array([_digest(s) for s in sets], pa.int64()), pa.array(signs[:, 0]), pa.array(signs[:, 1])]
+                yield pa.RecordBatch.from_arrays([part.column(0), *columns, pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(homes))], [key, "node", "low", "high", "anchors"])
 
-    return docs.select(F.col(key), F.col(text).cast("string").alias("text")).mapInArrow(run, f"{key} {kind}, node long, bands array<long>")
+    return docs.select(F.col(key), F.col(text).cast("string").alias("text")).mapInArrow(run, f"{key} {kind}, node long, low long, high long, anchors array<int>")
+
+
+def meeting(found: DataFrame) -> DataFrame:
+    """(bucket, node) of the anchors at which several distinct sets are at home."""
+
+    def run(batches):
+        bucket, node, first = np.zeros(0, np.int32), np.zeros(0, np.int64), True
+        for batch in batches:  # the last row waits for the next, with whether it is the first of its bucket
+            bucket, node = (np.concatenate([x, batch.column(i).to_numpy()]) for i, x in enumerate((bucket, node)))
+            if not len(bucket):
+                continue
+            new = np.concatenate([[first], bucket[1:] != bucket[:-1]])
+            yes = ~new[:-1] | ~new[1:]
+            yield pa.RecordBatch.from_arrays([pa.array(bucket[:-1][yes]), pa.array(node[:-1][yes])], ["bucket", "node"])
+            bucket, node, first = bucket[-1:], node[-1:], bool(new[-1])
+        if not first:
+            yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(node)], ["bucket", "node"])
+
+    homes = found.dropDuplicates(["node"]).select(F.explode("anchors").alias("bucket"), "node")
+    return homes.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "bucket int, node long")
+
+
+def _close(low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Which of one anchor's fingerprints have another within FAR bits."""
+    if len(low) > CROWD:
+        return np.ones(len(low), bool)
+    differ = np.bitwise_count(low[:, None] ^ low) + np.bitwise_count(high[:, None] ^ high)
+    return (differ <= FAR).sum(1) > 1  # itself is one
+
+
+def close(met: DataFrame, found: DataFrame) -> DataFrame:
+    """The (bucket, node) of ``met`` whose fingerprint is near another's at the same anchor; all of an anchor with over CROWD sets."""
+
+    def run(batches):
+        held = None
+
+        def done(rows: pa.RecordBatch) -> pa.RecordBatch:
+            bucket = rows.column("bucket").to_numpy()
+            low, high = (rows.column(k).to_numpy().view(np.uint64) for k in ("low", "high"))
+            cut = np.flatnonzero(np.diff(bucket)) + 1
+            starts, ends = np.concatenate([[0], cut]), np.concatenate([cut, [len(bucket)]])
+            yes = np.zeros(len(bucket), bool)
+            two = starts[ends - starts == 2]
+            yes[two] = yes[two + 1] = np.bitwise_count(low[two] ^ low[two + 1]) + np.bitwise_count(high[two] ^ high[two + 1]) <= FAR
+            for a, b in zip(*(x[ends - starts > 2].tolist() for x in (starts, ends)), strict=True):
+                yes[a:b] = _close(low[a:b], high[a:b])
+            return rows.select(["bucket", "node"]).filter(pa.array(yes))
+
+        for batch in batches:  # the last anchor waits for the next batch
+            if not batch.num_rows:
+                continue
+            rows = pa.concat_batches([held, batch]) if held is not None else batch
+            bucket = rows.column("bucket").to_numpy()
+            last = int(np.searchsorted(bucket, bucket[-1]))
+            if last:
+                yield done(rows.slice(0, last))
+            held = rows.slice(last)
+        if held is not None:
+            yield done(held)
+
+    bits = found.groupBy("node").agg(F.min("low").alias("low"), F.min("high").alias("high"))
+    return met.join(bits, "node").select("bucket", "node", "low", "high").repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "bucket int, node long")
 
 
 def _digest(found: np.ndarray) -> int:
@@ -253,11 +363,11 @@ def links(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str = "t
     def sets(nodes: DataFrame) -> DataFrame:
         return sets_of(docs, materialize(heads.join(nodes, "node", "left_semi").select("key", "node"), "wanted"), key, text, shingle)
 
-    keyed = materialize(found.dropDuplicates(["node"]).select("node", F.explode("bands").alias("bucket")), "buckets")
-    sizes = materialize(keyed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "shared")
-    shared = materialize(keyed.join(sizes, "bucket"), "shared-buckets")
-    discard(keyed)
-    weights = shared.groupBy("node").agg(F.sum("n").alias("weight"))
+    met = materialize(meeting(found), "anchor-meetings")
+    shared = materialize(close(met, found), "near-meetings")
+    discard(met)
+    sizes = shared.groupBy("bucket").agg(F.count("*").alias("n"))
+    weights = shared.join(sizes, "bucket").groupBy("node").agg(F.sum("n").alias("weight"))
     pivots = shared.join(weights, "node").groupBy("bucket").agg(F.max(F.struct("weight", "node"))["node"].alias("src"))
     pairs = shared.join(pivots, "bucket").where("src <> node").select("src", F.col("node").alias("dst"))
     near = measured(pairs, sets, similarity)

@@ -71,6 +71,33 @@ def test_possible_holds_every_link_around_a_pivot(spark):
     assert not nearset.possible(around.limit(0), 0.8).collect()
 
 
+def test_anchors_are_golay_points_and_near_sets_share_some():
+    _, points = nearset._points()
+    both = np.concatenate([points.T, -points.T])
+    assert len(np.unique(both, axis=0)) == 4096
+    assert sorted(set((points.T @ both.T).reshape(-1).tolist())) == [-24, -8, 0, 8, 24]  # 8, 12 or 16 signs differ
+    rng = np.random.default_rng(11)
+    for n, shared in ((9, 8), (45, 40), (360, 320)):
+        values = rng.integers(0, 1 << 63, (300, 2 * n - shared)).astype(np.uint64)
+        a, b = (np.stack([nearset.sums(np.sort(v)) for v in part]) for part in (values[:, :n], values[:, n - shared :]))
+        same = (nearset.anchors(a) == nearset.anchors(b)).sum(1)
+        assert same.min() > 0 and 11 < same.mean() < 17
+        assert ((a[:, :128] > 0) != (b[:, :128] > 0)).sum(1).max() <= nearset.FAR
+        other = np.roll(b, 1, axis=0)
+        assert (nearset.anchors(a) == nearset.anchors(other)).sum() <= 1
+    assert set(nearset.sums(np.zeros(0, np.uint64)).tolist()) == {0}
+
+
+def test_meetings_are_compared_within_their_anchor(spark):
+    near, far = 0, -1
+    rows = [(1, near, near, [5, 6]), (1, near, near, [5, 6]), (2, near, 1, [5, 7]), (3, far, far, [5, 6]), (4, far, 3, [8]), (5, near, near, [])]
+    found = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "doc_id long, node long, low long, high long, anchors array<int>").repartition(3)
+    met = nearset.meeting(found)
+    assert sorted(map(tuple, met.collect())) == [(5, 1), (5, 2), (5, 3), (6, 1), (6, 3)]
+    assert sorted(map(tuple, nearset.close(met, found).collect())) == [(5, 1), (5, 2)]
+    assert not nearset.close(nearset.meeting(found.limit(0)), found).collect()
+
+
 def test_a_group_around_a_pivot_does_not_become_all_its_pairs(spark):
     """Members that are less than 0.8 like the pivot and share some of few possible changes: only links, or what connects them, are handed on."""
     rng = np.random.default_rng(3)
