@@ -18,13 +18,14 @@ multiply. Sets that have nothing in common meet in one table of 16,777,216 ancho
 are few candidates a set up to some million sets, and grow with the square of their number.
 
 Candidates come in two steps, so that a large group is not compared pair by pair. First each
-vertex is compared with the pivot of each of its anchors, the member that shares most with others.
+vertex is compared with the pivot of each of its anchors, the set that meets most others among all
+that the anchor's members meet; nearly all anchors of a group have the same (:func:`stars`).
 Then members of different components around one pivot are compared by what is known of them: which
 of the pivot's shingles each holds, as bits, and its shingles outside the pivot. Two sets that are
 similar by s share at least s / (1 + s) of both their sizes together. What two members share within
-the pivot is counted exactly. If they share a shingle outside, then one of the first (1 - s) * n + 1
-of each (prefix filter); where these are all, they are counted exactly, else the most possible is
-assumed. Nothing else can be a link, so none is lost, and hardly a pair that is none is handed on.
+the pivot and outside it is counted exactly, so no link is lost and no pair that is none is handed
+on. (Lists of shingles outside may be cut to the first (1 - s) * n + 1: similar sets that share one
+outside share one of these. The most possible is then assumed.)
 This is done by matrix products over blocks of members, so that no pair is written that cannot be a
 link; the work in one group still grows with the square of its size.
 
@@ -241,7 +242,7 @@ def verified(pairs: DataFrame, sets, similarity: float) -> DataFrame:
 
 
 def measured(pairs: DataFrame, sets, similarity: float) -> DataFrame:
-    """(src, dst, linked, size, common, outside, holds) of the distinct ``pairs``: dst's size, what it shares with src, the first of its shingles that src lacks, and a bit for each of src's shingles that it holds."""
+    """(src, dst, linked, size, common, outside, holds) of the distinct ``pairs``: dst's size, what it shares with src, its shingles that src lacks, and a bit for each of src's shingles that it holds."""
     joined, known = _with_sets(materialize(pairs.distinct(), "candidates"), sets)
 
     def run(batches):
@@ -250,9 +251,8 @@ def measured(pairs: DataFrame, sets, similarity: float) -> DataFrame:
             for a, b in zip(batch.column(2), batch.column(3), strict=True):
                 a, b = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
                 lacks = np.setdiff1d(b, a, assume_unique=True)
-                first = lacks[: int((1 - similarity) * len(b) + 1e-6) + 1]
                 holds = np.packbits(np.isin(a, b, assume_unique=True)).tobytes()
-                rows.append((similar(a, b, similarity), len(b), len(b) - len(lacks), first.view(np.int64), holds))
+                rows.append((similar(a, b, similarity), len(b), len(b) - len(lacks), lacks.view(np.int64), holds))
             columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.bool_(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["src", "dst", "linked", "size", "common", "outside", "holds"])
 
@@ -337,7 +337,7 @@ def possible(around: DataFrame, similarity: float, rows: int = BLOCK_ROWS) -> Da
     """(src, dst) that may be links of different components among the members of each pivot and connect all that are.
 
     ``around`` is (pivot, node, component, linked, size, common, outside), with the bits ``holds``
-    where known. The members of a pivot are compared in blocks of about ``rows``, each two blocks in a task.
+    where known; outside are all shingles that the pivot lacks, or the first (1 - s) * n + 1. The members of a pivot are compared in blocks of about ``rows``, each two blocks in a task.
     """
     loads = around.groupBy("pivot").agg(F.greatest(F.count("*") / rows, F.sum(F.size("outside")) / (rows * BLOCK_SHINGLES)).alias("load"))
     dealt = around.join(loads.select("pivot", F.ceil("load").cast("int").alias("blocks")), "pivot").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
@@ -347,13 +347,32 @@ def possible(around: DataFrame, similarity: float, rows: int = BLOCK_ROWS) -> Da
 
     def run(table: pa.Table) -> pa.Table:
         node = table.column("node").to_pylist()
-        found = _meetings({k: table.column(k).to_pylist() for k in names}, similarity)
+        part = {k: table.column(k).to_pylist() for k in names if k != "outside"}
+        outside = table.column("outside").combine_chunks()
+        part["outside"] = np.split(outside.flatten().to_numpy(), np.cumsum(outside.value_lengths().to_numpy())[:-1])
+        found = _meetings(part, similarity)
         ends = [sorted((node[i], node[j])) for i, j in found]
         return pa.table([pa.array([e[k] for e in ends], pa.int64()) for k in (0, 1)], ["src", "dst"])
 
     return pairs.groupBy("pivot", "low", "high").applyInArrow(run, "src long, dst long").distinct()
 
 
+def stars(met: DataFrame) -> DataFrame:
+    """(src, dst): the pivot of each anchor of ``met`` with every other member of it, once.
+
+    The heaviest set meets most others. A member's home is the heaviest of all it meets, an anchor's
+    pivot the heaviest of its members' homes, which need not be at home there itself. So the anchors
+    of one group nearly all have one pivot, where each of them having its own heaviest member as
+    pivot would pair a set with most of those that it meets.
+    """
+    sizes = met.groupBy("bucket").agg(F.count("*").alias("n"))
+    weights = met.join(sizes, "bucket").groupBy("node").agg(F.sum("n").alias("weight"))
+    tops = met.join(weights, "node").groupBy("bucket").agg(F.max(F.struct("weight", "node")).alias("top"))
+    homes = met.join(tops, "bucket").groupBy("node").agg(F.max("top").alias("home"))
+    pivots = met.join(homes, "node").groupBy("bucket").agg(F.max("home")["node"].alias("src"))
+    return met.join(pivots, "bucket").where("src <> node").select("src", F.col("node").alias("dst")).distinct()
+
+
 def links(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
     """(src, dst): verified links between distinct sets that connect all that are similar. ``found`` is :func:`prints` of ``docs``."""
     if similarity < SIMILARITY:
@@ -366,14 +385,11 @@ def links(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str = "t
     met = materialize(meeting(found), "anchor-meetings")
     shared = materialize(close(met, found), "near-meetings")
     discard(met)
-    sizes = shared.groupBy("bucket").agg(F.count("*").alias("n"))
-    weights = shared.join(sizes, "bucket").groupBy("node").agg(F.sum("n").alias("weight"))
-    pivots = shared.join(weights, "node").groupBy("bucket").agg(F.max(F.struct("weight", "node"))["node"].alias("src"))
-    pairs = shared.join(pivots, "bucket").where("src <> node").select("src", F.col("node").alias("dst"))
-    near = measured(pairs, sets, similarity)
+    near = measured(stars(shared), sets, similarity)
     first = near.where("linked").select("src", "dst")
     part = connected_components(first)
     placed = near.join(part.withColumnRenamed("node", "dst"), "dst", "left").select(F.col("src").alias("pivot"), F.col("dst").alias("node"), F.coalesce("component", "dst").alias("component"), "linked", "size", "common", "outside", "holds")
+    placed = materialize(placed, "placed-pairs")
     several = placed.groupBy("pivot").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("pivot")
     met = possible(materialize(placed.join(several, "pivot"), "around-pivots"), similarity)
     done = near.select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst"))

@@ -130,3 +130,43 @@ def test_a_group_around_a_pivot_does_not_become_all_its_pairs(spark):
         found = {tuple(r) for r in nearset.possible(around, 0.8, size).collect()}
         assert found <= links and len(found) < 2 * len(sets)
         assert parts(found) == parts(links)
+
+
+def test_a_group_of_near_copies_has_few_pivots(spark, monkeypatch):
+    """Copies of one text that meet at many anchors, too far from each other to be one component: each is measured against about one pivot."""
+    rng = np.random.default_rng(17)
+    base = [f"w{x}" for x in rng.integers(0, 400, 150)]
+    texts = []
+    for k in range(160):
+        words = list(base)
+        for at in rng.choice(150, 1 + k % 9, replace=False):
+            words[at] = f"new{rng.integers(30)}"
+        texts.append(" ".join(words))
+    sets = [brute(t) for t in texts]
+    links = [(i, j) for i in range(len(texts)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    label = list(range(len(texts)))
+    for _ in label:
+        for i, j in links:
+            label[i] = label[j] = min(label[i], label[j])
+    compared = []
+    measured = nearset.measured
+    monkeypatch.setattr(nearset, "measured", lambda pairs, *rest: compared.append(pairs.distinct().count()) or measured(pairs, *rest))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    found = {r["doc_id"]: r["component_id"] for r in nearset.components(docs).collect()}
+    assert found == dict(enumerate(label))
+    assert 1 < len(set(label)) < len(texts)
+    assert len(texts) // 2 < sum(compared) < 2 * len(texts)
+
+
+def test_members_of_an_anchor_have_a_pivot_in_common(spark):
+    rng = np.random.default_rng(23)
+    rows = sorted({(int(b), int(n)) for b, n in zip(rng.integers(0, 40, 160), rng.integers(0, 90, 160), strict=True)})
+    found = [tuple(r) for r in nearset.stars(spark.createDataFrame(rows, "bucket int, node long")).collect()]
+    assert len(found) == len(set(found)) and all(i != j for i, j in found)
+    around = {i: {i} for i, _ in found}
+    for i, j in found:
+        around[i].add(j)
+    for bucket in {b for b, _ in rows}:
+        members = {n for b, n in rows if b == bucket}
+        assert len(members) == 1 or any(members <= star for star in around.values())
+    assert not nearset.stars(spark.createDataFrame([], "bucket int, node long")).collect()
