@@ -10,6 +10,11 @@ Edge cases: a null text is an empty text (no ids); special tokens of the vocabul
 a text become their own id, as the tokenizers library does; a long text is worked through in
 segments that end where no token can straddle; repeated rows give repeated results; extra
 columns pass through ``encode`` untouched unless they carry the output's name, which raises.
+
+Digests are made for many texts at once: the places where tokens begin are found by code point
+classes; the distinct tokens of a piece walk the lexicon together, those that are not in it are
+merged as rows of a matrix, and what each stands for is copied to its places. Texts with special
+tokens and texts longer than a piece are worked through one by one.
 """
 
 from __future__ import annotations
@@ -31,7 +36,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gristmill.functions.buffers import distinct_words, pieces
+from gristmill.functions.buffers import distinct_words, flat_bytes, pieces
 from gristmill.plans.store import discard, materialize
 
 # Fixed value: the pre-tokenizer's pattern of the byte-level vocabularies.
@@ -56,9 +61,16 @@ HAS_NEWER = regex.compile(f"[{NEWER}]")
 SAFE_CUT = regex.compile(r"(?<=\S) (?=\S)")
 _NO_PAIR = 1 << 62
 SEGMENT_CHARS = 1 << 19
+PIECE_BYTES = 1 << 22
+MATRIX_BYTES, MATRIX_ROWS = 64, 4096
 MEMO_WORDS = 250_000
 
 
+def ranges(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places first, first + 1, ... of each range, one range after another."""
+    return np.arange(int(size.sum())) + np.repeat(first - (np.cumsum(size) - size), size)
+
+
 def byte_letters() -> dict[int, str]:
     """The vocabulary file's letter for each byte: printable Latin-1 stands for itself, the rest follow from 256 on."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -81,10 +93,66 @@ class Vocabulary:
         for rank, m in enumerate(model["merges"]):
             a, b = m.split(" ") if isinstance(m, str) else m
             self.pairs[ids[a] << 32 | ids[b]] = rank << 32 | ids[a + b]
+        self.pair_keys = np.array(sorted(self.pairs), np.int64)
+        self.pair_values = np.array([self.pairs[k] for k in sorted(self.pairs)], np.int64)
+        self.byte_array = np.array(self.byte_ids, np.int64)
+        self.byte_pairs = self.pair_ranks(self.byte_array[:, None], self.byte_array[None, :])
         self.special = {x["content"]: x["id"] for x in spec.get("added_tokens", [])}
         self.token_bytes |= {i: s.encode() for s, i in self.special.items()}
         self.special_split = regex.compile("|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True))) if self.special else None
 
+    def pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """What ``pairs`` has for each pair, _NO_PAIR where it has none."""
+        wanted = left << 32 | right
+        if not len(self.pair_keys):
+            return np.full(wanted.shape, _NO_PAIR)
+        at = np.minimum(np.searchsorted(self.pair_keys, wanted), len(self.pair_keys) - 1)
+        return np.where(self.pair_keys[at] == wanted, self.pair_values[at], _NO_PAIR)
+
+    def merge_all(self, data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, how many of each) of the words ``data[begin:begin + size]``, as :meth:`merge` has them.
+
+        Words of like size are the rows of a matrix; each round merges one pair in every row that has one.
+        """
+        order = np.argsort(size, kind="stable")
+        short = int(np.searchsorted(size[order], MATRIX_BYTES, "right"))
+        counts, parts = np.zeros(len(size), np.int64), []
+        for at in range(0, short, MATRIX_ROWS):
+            own = order[at : min(short, at + MATRIX_ROWS)]
+            width = int(size[own].max())
+            inside = np.arange(width) < size[own, None]
+            raw = data[np.where(inside, begin[own, None] + np.arange(width), 0)]
+            ids = np.where(inside, self.byte_array[raw], -1)
+            ranks = np.where(inside[:, 1:], self.byte_pairs[raw[:, :-1], raw[:, 1:]], _NO_PAIR)
+            out, row = np.full(ids.shape, -1, np.int64), np.arange(len(own))
+            while ranks.shape[1]:
+                where = ranks.argmin(1)
+                best = ranks[np.arange(len(row)), where]
+                more = best != _NO_PAIR
+                out[row[~more], : ids.shape[1]] = ids[~more]
+                row, where, best, ids, ranks = row[more], where[more], best[more], ids[more], ranks[more]
+                if not len(row):
+                    break
+                left = np.arange(ids.shape[1] - 1)
+                ids = np.take_along_axis(ids, left + (left > where[:, None]), 1)
+                ranks = np.take_along_axis(ranks, left[:-1] + (left[:-1] >= where[:, None]), 1)
+                ids[np.arange(len(row)), where] = best & 0xFFFFFFFF
+                for step in (-1, 0):  # the pairs before and behind the merged one are new
+                    new = np.flatnonzero((where + step >= 0) & (where + step < ranks.shape[1]))
+                    place = where[new] + step
+                    ranks[new, place] = self.pair_ranks(ids[new, place], ids[new, place + 1])
+            out[row, : ids.shape[1]] = ids
+            counts[own] = (out >= 0).sum(1)
+            parts.append(out[out >= 0])
+        for i in order[short:]:
+            merged = self.merge(data[begin[i] : begin[i] + size[i]].tobytes())
+            counts[i] = len(merged)
+            parts.append(np.array(merged, np.int64))
+        ids = np.concatenate([np.zeros(0, np.int64), *parts])
+        first = np.empty(len(size), np.int64)
+        first[order] = np.cumsum(counts[order]) - counts[order]
+        return ids[ranges(first, counts)], counts
+
     def merge(self, word: bytes) -> tuple[int, ...]:
         """Exact BPE: always the pair of least rank, leftmost first."""
         ids = [self.byte_ids[b] for b in word]
@@ -213,6 +281,7 @@ class Lexicon:
         cuts = [4, *itertools.accumulate((states + 1, states, n_edges, n_edges, n_edges, n_words + 1, n_ids), initial=4)][1:]
         self.first, self.final, self.label, self.target, self.skip, self.starts, self.ids = (self.view[a:b] for a, b in itertools.pairwise(cuts))
         self.states, self.edges, self.words = states, n_edges, n_words
+        self.edge_keys = np.repeat(np.arange(states), np.diff(np.asarray(self.first))) << 8 | np.asarray(self.label)
 
     def index(self, word: bytes) -> int:
         """The word's place among the sorted words, or -1."""
@@ -231,28 +300,29 @@ class Lexicon:
             s = self.target[lo]
         return at if self.final[s] else -1
 
+    def index_all(self, data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """:meth:`index` of the words ``data[begin:begin + size]``, which walk the automaton together."""
+        found, row = np.full(len(size), -1, np.int64), np.arange(len(size))
+        state, place, depth = np.zeros(len(size), np.int64), np.zeros(len(size), np.int64), 0
+        final, skip, target = (np.asarray(x) for x in (self.final, self.skip, self.target))
+        while len(row) and self.edges:
+            ended = size[row] == depth
+            whole = ended & (final[state] > 0)
+            found[row[whole]] = place[whole]
+            row, state, place = row[~ended], state[~ended], place[~ended]
+            key = state << 8 | data[begin[row] + depth]
+            edge = np.minimum(np.searchsorted(self.edge_keys, key), self.edges - 1)
+            there = self.edge_keys[edge] == key
+            row, edge = row[there], edge[there]
+            state, place = target[edge].astype(np.int64), place[there] + skip[edge]
+            depth += 1
+        return found
+
     def find(self, word: bytes) -> tuple[int, ...] | None:
         i = self.index(word)
         return None if i < 0 else tuple(self.ids[self.starts[i] : self.starts[i + 1]])
 
 
-class _TwoGenerations(dict):
-    """A cache of bounded size: when it is full it becomes the older generation, whose words are looked up before they are computed again."""
-
-    def __init__(self):
-        super().__init__()
-        self.older: dict = {}
-
-    def put(self, word: str, value):
-        if len(word) > 64:
-            return value
-        if len(self) >= MEMO_WORDS:
-            self.older = dict(self)
-            self.clear()
-        self[word] = value
-        return value
-
-
 class _Memo(dict):
     """Ids by word: lexicon first, else merged; emptied when full."""
 
@@ -283,6 +353,59 @@ def words_of(text: str) -> list[str]:
     return SPLIT_LATIN.findall(text)
 
 
+_SPACES, _LETTERS, _NUMBERS, _OTHERS = range(4)
+_classes: list[np.ndarray] = []
+
+
+def point_classes() -> np.ndarray:
+    """The pattern's class of each code point, made once per process."""
+    if not _classes:
+        table = np.full(0x110000, _OTHERS, np.uint8)
+        for low, high in ((0, 0xD800), (0xE000, 0x110000)):
+            points = "".join(map(chr, range(low, high)))
+            for kind, found in ((_SPACES, r"\s+"), (_LETTERS, r"\p{L}+"), (_NUMBERS, r"\p{N}+"), (_OTHERS, f"[{NEWER}]+")):
+                for m in regex.finditer(found, points):
+                    table[low + m.start() : low + m.end()] = kind
+        _classes.append(table)
+    return _classes[0]
+
+
+def token_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The byte places where the pre-tokens of texts without special tokens begin, the texts lying one after another."""
+    if not len(data):
+        return np.zeros(0, np.int64)
+    if (data < 128).all():
+        points, where = data, None
+    else:
+        points = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
+        where = np.flatnonzero(data & 0xC0 != 0x80)  # the byte place of each code point
+    n, kind = len(points), point_classes()[points]
+    first = offsets[:-1][np.diff(offsets) > 0]
+    first = first if where is None else np.searchsorted(where, first)
+    opens = np.zeros(n + 1, bool)  # a text begins here, or all have ended
+    opens[first] = opens[n] = True
+    start = np.concatenate([[True], kind[1:] != kind[:-1]]) | opens[:-1]
+    space = kind == _SPACES
+    # the last of a run of white space before a visible character is a token, or the visible one's if it is a blank
+    last = np.flatnonzero(space[:-1] & ~space[1:] & ~opens[1:-1])
+    start[last] = True
+    start[last[points[last] == 32] + 1] = False
+    quote = np.flatnonzero((points == 39) & start)
+    quote = quote[~opens[quote + 1]]
+    second = points[quote + 1]
+    short = quote[np.isin(second, [ord(c) for c in "stmd"])]
+    near = quote + 2 < n
+    quote, second = quote[near & ~opens[np.minimum(quote + 2, n)]], second[near & ~opens[np.minimum(quote + 2, n)]]
+    third = points[quote + 2]
+    long = quote[((third == ord("e")) & ((second == ord("r")) | (second == ord("v")))) | ((second == ord("l")) & (third == ord("l")))]
+    for at, size in ((short, 2), (long, 3)):
+        start[at + 1] = False
+        ends = at + size
+        start[ends[ends < n]] = True
+    found = np.flatnonzero(start)
+    return found if where is None else where[found]
+
+
 def segments(text: str, chars: int = SEGMENT_CHARS) -> Iterator[str]:
     """The text cut at single spaces between two visible characters, where a token always begins."""
     at = 0
@@ -295,28 +418,13 @@ def segments(text: str, chars: int = SEGMENT_CHARS) -> Iterator[str]:
     yield text[at:] if at else text
 
 
-class _Shown(_TwoGenerations):
-    """A word's ids in decimal, joined by commas."""
-
-    def __init__(self, codec: Codec):
-        super().__init__()
-        self.codec = codec
-
-    def __missing__(self, word: str) -> str:
-        known = self.older.get(word)
-        return self.put(word, ",".join(map(str, self.codec.memo.of(word))) if known is None else known)
-
-
-class _Back(_TwoGenerations):
-    """The bytes that a word's ids decode to."""
-
-    def __init__(self, codec: Codec):
-        super().__init__()
-        self.codec = codec
-
-    def __missing__(self, word: str) -> bytes:
-        known = self.older.get(word)
-        return self.put(word, b"".join(map(self.codec.bytes_of, map(int, self.codec.shown[word].split(",")))) if known is None else known)
+def copied(values: pa.Array, codes: np.ndarray, counts: np.ndarray, words: pa.Array, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The values of each word's codes, word after word as in ``words``, and where those of the words ``which`` begin."""
+    data, offsets = flat_bytes(values.take(pa.array(codes)))
+    ends = offsets[np.concatenate([[0], np.cumsum(counts)])]
+    each = pa.Array.from_buffers(pa.large_binary(), len(counts), [None, pa.py_buffer(ends), pa.py_buffer(data)])
+    data, offsets = flat_bytes(each.take(words))
+    return data, offsets[which]
 
 
 class Codec:
@@ -325,7 +433,9 @@ class Codec:
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon | None = None):
         self.vocabulary, self.memo = vocabulary, _Memo(vocabulary, lexicon)
         self.bytes_of = vocabulary.token_bytes.__getitem__
-        self.shown, self.back = _Shown(self), _Back(self)
+        tokens = range(max(vocabulary.token_bytes, default=-1) + 1)
+        self.shown = pa.array([b"%d," % i for i in tokens], pa.large_binary())
+        self.back = pa.array([vocabulary.token_bytes.get(i, b"") for i in tokens], pa.large_binary())
 
     def word_parts(self, text: str) -> Iterator[tuple[bool, list[str]]]:
         """(special, pre-tokens) of each stretch of the text, in order."""
@@ -349,6 +459,61 @@ class Codec:
     def encode(self, text: str) -> list[int]:
         return list(itertools.chain.from_iterable(self.encode_parts(text)))
 
+    def digest(self, text: str | None) -> tuple[int, str, str]:
+        """Number of ids, digests of the decimal ids joined by commas and of the text decoded from them."""
+        n, ids_sha, text_sha = 0, hashlib.sha256(), hashlib.sha256()
+        for ids in self.encode_parts(text) if text else ():
+            if ids:
+                ids_sha.update((("," if n else "") + ",".join(map(str, ids))).encode())
+                text_sha.update(self.decode(ids).encode())
+                n += len(ids)
+        return n, ids_sha.hexdigest(), text_sha.hexdigest()
+
+    def ids_of(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, how many of each) of many words: lexicon first, else merged."""
+        data, offsets = flat_bytes(words)
+        begin, size, lexicon = offsets[:-1], np.diff(offsets), self.memo.lexicon
+        at = lexicon.index_all(data, begin, size) if lexicon else np.full(len(size), -1)
+        listed, rest = np.flatnonzero(at >= 0), np.flatnonzero(at < 0)
+        merged, counted = self.vocabulary.merge_all(data, begin[rest], size[rest])
+        counts = np.zeros(len(size), np.int64)
+        counts[rest] = counted
+        if len(listed):
+            starts = np.asarray(lexicon.starts).astype(np.int64)
+            counts[listed] = starts[at[listed] + 1] - starts[at[listed]]
+        first = np.cumsum(counts) - counts
+        ids = np.empty(int(counts.sum()), np.int64)
+        ids[ranges(first[rest], counts[rest])] = merged
+        if len(listed):
+            ids[ranges(first[listed], counts[listed])] = np.asarray(lexicon.ids)[ranges(starts[at[listed]], counts[listed])]
+        return ids, counts
+
+    def digests(self, texts: pa.Array) -> Iterator[tuple[int, str, str]]:
+        """:meth:`digest` of each text, with each distinct token of a piece encoded once."""
+        special = [s.encode() for s in self.vocabulary.special]
+        for at, end, data, offsets in pieces(texts, PIECE_BYTES):
+            raw = data.tobytes()
+            alone = {i for i in range(end - at) if offsets[i + 1] - offsets[i] > PIECE_BYTES}
+            if any(s in raw for s in special):
+                alone |= {i for i in range(end - at) if any(s in raw[offsets[i] : offsets[i + 1]] for s in special)}
+            if len(alone) == end - at:
+                yield from (self.digest(texts[at + i].as_py()) for i in range(end - at))
+                continue
+            starts = token_starts(data, offsets)
+            tokens = pa.Array.from_buffers(pa.string(), len(starts), [None, pa.py_buffer(np.append(starts, len(data)).astype(np.int32)), pa.py_buffer(raw)])
+            coded = tokens.dictionary_encode()
+            words, which = coded.indices, np.searchsorted(starts, offsets)  # the first token of each text
+            codes, counts = self.ids_of(coded.dictionary)
+            n = np.concatenate([[0], np.cumsum(counts[words.to_numpy()])])[which]
+            ids, ids_at = copied(self.shown, codes, counts, words, which)
+            back, back_at = copied(self.back, codes, counts, words, which)
+            for i in range(end - at):
+                if i in alone:
+                    yield self.digest(texts[at + i].as_py())
+                    continue
+                decoded = back[back_at[i] : back_at[i + 1]].tobytes().decode("utf-8", "replace").encode()
+                yield int(n[i + 1] - n[i]), hashlib.sha256(ids[ids_at[i] : max(ids_at[i], ids_at[i + 1] - 1)]).hexdigest(), hashlib.sha256(decoded).hexdigest()
+
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.bytes_of, ids)).decode("utf-8", "replace")
 
@@ -437,21 +602,8 @@ def round_trip_digests(docs: DataFrame, vocabulary_path: str, lexicon_name: str
 
     def digest(batches):
         codec = _codec(vocabulary_path, lexicon_name)
-        shown, back, special = codec.shown.__getitem__, codec.back.__getitem__, codec.vocabulary.special
         for batch in batches:
-            keys, rows = batch.column(0), []
-            for t in batch.column(1):
-                t = t.as_py()
-                n, ids_sha, text_sha = 0, hashlib.sha256(), hashlib.sha256()
-                for is_special, words in codec.word_parts(t) if t else ():
-                    if not words:
-                        continue
-                    ids = ",".join([str(special[w]) for w in words] if is_special else map(shown, words))
-                    raw = b"".join([codec.bytes_of(special[w]) for w in words] if is_special else map(back, words))
-                    ids_sha.update((("," if n else "") + ids).encode())
-                    text_sha.update(raw.decode("utf-8", "replace").encode())
-                    n += ids.count(",") + 1
-                rows.append((n, ids_sha.hexdigest(), text_sha.hexdigest()))
+            keys, rows = batch.column(0), list(codec.digests(batch.column(1)))
             n, a, b = zip(*rows, strict=True) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays([keys, pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())], [key, "n_tokens", "ids_sha256", "decoded_sha256"])
 

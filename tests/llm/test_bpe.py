@@ -1,6 +1,10 @@
+import hashlib
+import itertools
 import random
 import sys
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -72,3 +76,68 @@ def test_round_trip_on_rows(spark, library):
         bpe.encode(docs.withColumnRenamed("text", "ids"), PATH, name, text="ids")
     assert bpe.round_trip_digests(docs.limit(0), PATH, None).count() == 0
     assert sys.maxunicode == 0x10FFFF
+
+
+def flat(texts):
+    raws = [t.encode() for t in texts]
+    return np.frombuffer(b"".join(raws), np.uint8), np.cumsum([0, *map(len, raws)])
+
+
+def test_token_starts_are_the_librarys(library):
+    def expected(texts):
+        at, out = 0, []
+        for t in texts:
+            places = list(itertools.accumulate((len(c.encode()) for c in t), initial=at))
+            out += [places[lo] for _, (lo, _) in library.pre_tokenizer.pre_tokenize_str(t)]
+            at = places[-1]
+        return out
+
+    quotes = ["'", "'s", "'l", "'ll", "a'l", "l", "x'", " 's", "  's", "\n't've're'm'd'LL", "''s", "'sabc'rest 've", "don't  we'll ", " ", "'", "r", "e", "\u3000 a", "\t ", " b"]
+    for some in (quotes, list(texts())):
+        some = [t for t in some if "<|" not in t]
+        assert bpe.token_starts(*flat(some)).tolist() == expected(some)
+    random.seed(8)
+    mixed = ["".join(random.choice("'' \n\tstrevlmdaé1² 　!") for _ in range(random.randrange(12))) for _ in range(4000)]
+    assert bpe.token_starts(*flat(mixed)).tolist() == expected(mixed)
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    every = ["".join(f"a{c}1{c} {c}! " for c in points[at : at + 4000]) for at in range(0, len(points), 4000)]
+    assert bpe.token_starts(*flat(every)).tolist() == expected(every)
+
+
+def test_digests_encode_distinct_tokens_together(vocabulary, library, tmp_path, monkeypatch):
+    """As the library has them, and no token of up to MATRIX_BYTES is walked or merged by itself."""
+    rows = [None, "", *(t for t in texts() if "<|" not in t), " the then\u00e9 nation " * 50, "abc" * 300]
+    rows += [rows[5], "naïve façade 日本語のテキスト " * 20, None]
+
+    def expected(t):
+        e = library.encode(t or "", add_special_tokens=False)
+        return len(e.ids), hashlib.sha256(",".join(map(str, e.ids)).encode()).hexdigest(), hashlib.sha256(library.decode(e.ids, skip_special_tokens=False).encode()).hexdigest()
+
+    (tmp_path / "lex").write_bytes(bpe.compile_lexicon({w: vocabulary.merge(w) for w in (b" the", b" then", b" nation", b" ", b"a")}))
+    merge = bpe.Vocabulary.merge
+
+    def long_only(self, word):
+        assert len(word) > bpe.MATRIX_BYTES
+        return merge(self, word)
+
+    monkeypatch.setattr(bpe.Vocabulary, "merge", long_only)
+    for lexicon in (None, bpe.Lexicon(str(tmp_path / "lex"))):
+        assert list(bpe.Codec(vocabulary, lexicon).digests(pa.array(rows))) == [expected(t) for t in rows]
+    monkeypatch.undo()
+    rows += ["<|endoftext|>a <|endoftext|><|endoftext|>", "<|endoftext|>", "x<|endoftext|>"]
+    for size in (100, bpe.PIECE_BYTES):
+        monkeypatch.setattr(bpe, "PIECE_BYTES", size)
+        assert list(bpe.Codec(vocabulary, lexicon).digests(pa.array(rows).slice(1))) == [expected(t) for t in rows[1:]]
+
+
+def test_merge_all_and_index_all(vocabulary, tmp_path):
+    random.seed(5)
+    words = [bytes(random.choice(b"ethnaoisr \xc3\xa9") for _ in range(random.randrange(1, 70))) for _ in range(3000)] + [bytes([b]) for b in range(256)]
+    data, offsets = np.frombuffer(b"".join(words), np.uint8), np.cumsum([0, *map(len, words)])
+    ids, counts = vocabulary.merge_all(data, offsets[:-1], np.diff(offsets))
+    merged = [vocabulary.merge(w) for w in words]
+    assert ids.tolist() == [i for m in merged for i in m] and counts.tolist() == list(map(len, merged))
+    for some in (words[::3], []):
+        (tmp_path / f"lex{len(some)}").write_bytes(bpe.compile_lexicon({w: (1,) for w in some}))
+        lexicon = bpe.Lexicon(str(tmp_path / f"lex{len(some)}"))
+        assert lexicon.index_all(data, offsets[:-1], np.diff(offsets)).tolist() == [lexicon.index(w) for w in words]
