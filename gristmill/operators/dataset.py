@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +15,9 @@ from gristmill.operators.evaluate import hash_fraction
 from gristmill.plans.store import materialize
 
 
+NEAR_ROWS = 8  # minima a table of near leaks: 93 tables at 0.8
+
+
 def split(key: Column, val: float = 0.1, test: float = 0.1) -> Column:
     """train, val or test, fixed by the key."""
     u = hash_fraction(key)
@@ -23,39 +30,87 @@ def cross_leaks(df: DataFrame, id_col: str, text: str, split_col: str) -> DataFr
     return g.where(F.size("splits") > 1)
 
 
-def near_matches(held: DataFrame, known: DataFrame, threshold: float, bands: int = 32, num_perm: int = 128) -> DataFrame:
+def _sketched(reps: DataFrame, num_perm: int, rows: int, threshold: float, miss: float) -> tuple[DataFrame, list[str]]:
+    """``reps`` with a sketch (the lowest two bits of all minima, as longs) and ``wide``, a bucket in each of several tables; and the sketch's columns.
+
+    A table's bucket is of ``rows`` minima, parts of shuffled ones; there are so many tables that a pair
+    at ``threshold`` is missed with a probability of at most ``miss``.
+    """
+    tables = math.ceil(math.log(miss) / math.log1p(-(threshold**rows)))
+    rng = np.random.default_rng([num_perm, rows])
+    parts = num_perm // rows
+    picks = np.concatenate([rng.permutation(num_perm)[: parts * rows].reshape(parts, rows) for _ in range(-(-tables // parts))])[:tables]
+    factor = rng.integers(0, 1 << 63, picks.shape, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    salt = rng.integers(0, 1 << 64, tables, dtype=np.uint64)
+    longs = -(-num_perm // 64)
+    names = [f"bits{lane}_{i}" for lane in (0, 1) for i in range(longs)]
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, len(batch), 1024):
+                part = batch.slice(at, 1024)
+                sig = part["sig"].flatten().to_numpy().reshape(len(part), num_perm)
+                bits = np.zeros((2, len(part), longs * 64), np.uint8)
+                bits[:, :, :num_perm] = sig & 1, sig >> 1 & 1
+                sketch = np.packbits(bits, axis=2).view(np.int64)
+                wide = np.stack([(sig[:, p].astype(np.uint64) * f).sum(1) + x for p, f, x in zip(picks, factor, salt)], 1)
+                ends = np.arange(len(part) + 1, dtype=np.int32) * tables
+                yield pa.RecordBatch.from_arrays([part["rep"], part["sig"], *(pa.array(c) for c in np.concatenate(sketch.transpose(0, 2, 1))), pa.ListArray.from_arrays(ends, wide.view(np.int64).ravel())], names=["rep", "sig", *names, "wide"])
+
+    kind = reps.schema["rep"].dataType.simpleString()
+    return reps.select("rep", "sig").mapInArrow(run, f"rep {kind}, sig array<int>, {', '.join(f'{c} long' for c in names)}, wide array<long>"), names
+
+
+def _meet(held: DataFrame, known: DataFrame, bits: list[str], most: int) -> DataFrame:
+    """(rep, item) that share a bucket and whose sketches ``bits`` differ in at most ``most`` places, judged within the join."""
+    half = len(bits) // 2
+    lanes = ([F.col(f"h.{x}").bitwiseXOR(F.col(f"k.{x}")) for x in part] for part in (bits[:half], bits[half:]))
+    apart = sum((F.bit_count(x.bitwiseOR(y)) for x, y in zip(*lanes)), F.lit(0))
+    return held.alias("h").join(known.alias("k"), (F.col("h.bucket") == F.col("k.bucket")) & (apart <= most)).select("rep", "item")
+
+
+def near_matches(held: DataFrame, known: DataFrame, threshold: float, bands: int = 32, num_perm: int = 128, wide_rows: int = 4) -> DataFrame:
     """(id, item, score): every row of ``held`` that is near some row of ``known``, with one such row. Both have id and text.
 
     Near is a share of equal minima of at least ``threshold``, over whole texts. Equal signatures are
     one vertex, and each is first compared with the least known one of its buckets; only what is near
-    none of these meets all others there, so large groups of copies are settled in one step. With 32
+    none of these meets all others, so large groups of copies are settled in one step. With 32
     bands of 4 a pair of 0.8 is missed with a probability of 4 in 10^8, one of 0.65 with 0.2 per
-    cent. Null and empty texts are equal to each other, null ids take no part, and an empty side
-    gives an empty result.
+    cent. The others are met in tables of ``wide_rows`` minima, as many as miss no more; more minima
+    bring fewer unlike texts together and take more tables. Who meets is compared within the join by
+    two bits of each minimum: where they differ the minima do, so that a pair with more such places than a
+    near one can have never leaves it. Null and empty texts are equal to each other, null ids take no
+    part, and an empty side gives an empty result.
     """
     rows = num_perm // bands
+    miss = (1 - threshold**rows) ** bands
+    most = num_perm - next(n for n in range(num_perm + 1) if n / num_perm >= threshold)
     hsig, ksig = (materialize(signatures(d.where("id is not null"), num_perm=num_perm), "signatures") for d in (held, known))
-    hrep, krep = (d.groupBy("sig").agg(F.min("id").alias("rep")) for d in (hsig, ksig))
+    (hrep, bits), (krep, _) = (_sketched(d.groupBy("sig").agg(F.min("id").alias("rep")), num_perm, wide_rows, threshold, miss) for d in (hsig, ksig))
+    hrep, krep = materialize(hrep, "reps"), materialize(krep.withColumnRenamed("rep", "item"), "reps")
     keys = F.explode(F.array(*(F.xxhash64(F.lit(i), F.slice("sig", i * rows + 1, rows)) for i in range(bands)))).alias("bucket")
-    hkey, kkey = (materialize(d.select("rep", keys), "buckets") for d in (hrep, krep))
+    wide = F.explode("wide").alias("bucket")
     same = F.size(F.filter(F.zip_with("a", "b", lambda x, y: x == y), lambda x: x)) / F.lit(float(num_perm))
 
-    def near(pairs: DataFrame) -> DataFrame:
-        a, b = hrep.select("rep", F.col("sig").alias("a")), krep.select(F.col("rep").alias("item"), F.col("sig").alias("b"))
-        return materialize(pairs.select("rep", "item").distinct().join(a, "rep").join(b, "item").select("rep", "item", same.alias("score")).where(F.col("score") >= threshold), "near")
+    def near(hkey: DataFrame, kkey: DataFrame) -> DataFrame:
+        pairs = _meet(hkey, kkey, bits, most).distinct()
+        a, b = hrep.select("rep", F.col("sig").alias("a")), krep.select("item", F.col("sig").alias("b"))
+        return materialize(pairs.join(a, "rep").join(b, "item").select("rep", "item", same.alias("score")).where(F.col("score") >= threshold), "near")
 
-    first = near(hkey.join(kkey.groupBy("bucket").agg(F.min("rep").alias("item")), "bucket"))
-    unsettled = hkey.join(first.select("rep").distinct(), "rep", "left_anti")
-    second = near(unsettled.join(kkey.withColumnRenamed("rep", "item"), "bucket"))
+    least = krep.select("item", *bits, keys).groupBy("bucket").agg(F.min(F.struct("item", *bits)).alias("m")).select("bucket", "m.*")
+    first = near(hrep.select("rep", *bits, keys), least)
+    unsettled = hrep.join(first.select("rep").distinct(), "rep", "left_anti")
+    second = near(unsettled.select("rep", *bits, wide), krep.select("item", *bits, wide))
     best = first.unionByName(second).groupBy("rep").agg(F.min(F.struct((-F.col("score")).alias("less"), "item")).alias("m"))
-    return hsig.join(hrep, "sig").join(best, "rep").select("id", F.col("m.item").alias("item"), (-F.col("m.less")).alias("score"))
+    heads = hrep.select("rep", "sig")
+    return hsig.join(heads, "sig").join(best, "rep").select("id", F.col("m.item").alias("item"), (-F.col("m.less")).alias("score"))
 
 
 def near_leaks(df: DataFrame, id_col: str, text: str, split_col: str, train: str = "train", threshold: float = 0.8) -> DataFrame:
     """(id, split, item, score): rows outside ``train`` that are near a train row (see :func:`near_matches`), equal texts included. A null split is outside."""
     named = df.select(F.col(id_col).alias("id"), F.col(text).alias("text"), F.col(split_col).alias("split"))
     inside = F.col("split").eqNullSafe(train)
-    found = near_matches(named.where(~inside), named.where(inside), threshold)
+    found = near_matches(named.where(~inside), named.where(inside), threshold, wide_rows=NEAR_ROWS)
     return named.where(~inside).select("id", "split").distinct().join(found.distinct(), "id").select("id", "split", "item", "score")
 
 
