@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import unicodedata
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from gristmill.functions.buffers import pieces
+
 # White space as Python's str.split and strip see it: Java's Unicode class and four separators it lacks.
 WS = r"(?U)[\s\x1C-\x1F]"
 WS_CHARS = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
@@ -109,34 +111,82 @@ def whitespace_ratio(c: Column | str) -> Column:
 # ---------------------------------------------------------------- normalisation rules, in their order
 
 
+# Characters of which no text changes when composed: each is composed already and joins no other (a selection, fixed by Unicode's stability rules).
+COMPOSED = r"\x00-\x{2FF}\x{388}-\x{482}\x{48A}-\x{52F}\x{2002}-\x{20CF}\x{2190}-\x{2328}\x{2330}-\x{2ADB}\x{3001}-\x{3029}\x{3030}-\x{3098}\x{309B}-\x{9FFF}\x{AC00}-\x{D7A3}\x{FF01}-\x{FFEF}\x{1F300}-\x{1FAFF}"
+
+
 def _nfc(c: Column) -> Column:
-    @F.pandas_udf("string")
-    def compose(s: pd.Series) -> pd.Series:
-        return s.map(lambda t: None if t is None else unicodedata.normalize("NFC", t))
+    """Only texts with a character outside ``COMPOSED`` reach Python, where they are composed piece by piece."""
+
+    @F.arrow_udf("string")
+    def compose(column: pa.Array) -> pa.Array:
+        done = [pa.array([None if t is None else unicodedata.normalize("NFC", t) for t in column.slice(at, end - at).to_pylist()], pa.string()) for at, end, *_ in pieces(column)]
+        return pa.concat_arrays(done) if done else pa.array([], pa.string())
+
+    return F.coalesce(compose(F.when(c.rlike(f"[^{COMPOSED}]"), c)), c)
+
+
+# White space but for line ends.
+_BLANK = "\\t\\x0B\\f\\x1C-\\x20\\x85\\xA0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000"
+
+
+def _where(found: Column, after: Column, c: Column) -> Column:
+    """``after`` only where there is something to change."""
+    return F.when(found, after).otherwise(c)
 
-    return F.when(F.length(c) == F.octet_length(c), c).otherwise(compose(c))  # ASCII text is composed already
+
+def _collapse(c: Column) -> Column:
+    """Blanks to one space, none at the ends of a line; a single space within a line is no match."""
+    once = F.regexp_replace(c, f"[{_BLANK}&&[^ ]][{_BLANK}]*| [{_BLANK}]+", " ")
+    return bound(F.regexp_replace(once, "(?m) $|^ ", ""), lambda x: _where(x.contains("\n\n\n"), F.regexp_replace(x, r"\n{3,}", "\n\n"), x))
 
 
 RULES = {
-    "line_separators": lambda c: F.translate(c, "  ", "\n\n"),
-    "newline": lambda c: F.regexp_replace(c, r"\r\n?", "\n"),
+    "line_separators": lambda c: _where(c.contains("\u2028") | c.contains("\u2029"), F.translate(c, "\u2028\u2029", "\n\n"), c),
+    "newline": lambda c: _where(c.contains("\r"), F.regexp_replace(c, r"\r\n?", "\n"), c),
     "zero_width": lambda c: F.regexp_replace(c, "[​‌‍⁠﻿]", ""),
     "control_chars": lambda c: F.regexp_replace(c, r"[\p{Cc}\p{Cf}&&[^\n\t\r]]", ""),
-    "whitespace_collapse": lambda c: F.regexp_replace(
-        F.regexp_replace(F.regexp_replace(c, r"(?U)[\s\x1C-\x1F&&[^\n\r]]+", " "), r"(?m)^ +| +$", ""), r"\n{3,}", "\n\n"
-    ),
+    "whitespace_collapse": _collapse,
     "strip": strip,
 }
 
 
+def _changes(changed: list[Column]) -> Column:
+    return F.filter(F.array(*changed), lambda x: x.isNotNull()).alias("rules") if changed else F.array().cast("array<string>").alias("rules")
+
+
+def normalized(c: Column | str, rules=("nfc", *RULES)) -> Column:
+    """A struct of the text, each rule applied to what the one before left, and the names of the rules that changed it.
+
+    What a rule leaves is worked out once (see :func:`bound`), though the next rule and the names refer
+    to it; where nfc is not the first rule that can't be, since Python does not run within ``bound``.
+    Select the struct before its fields, so that it is worked out once for both.
+    """
+    c, rules = _text(c), list(rules)
+    if "nfc" in rules[1:]:
+        changed = []
+        for name in rules:
+            after = _nfc(c) if name == "nfc" else RULES[name](c)
+            changed.append(F.when(after != c, F.lit(name)))
+            c = after
+        return F.struct(c.alias("text"), _changes(changed))
+
+    def step(before: Column, left: list[str], changed: list[Column]) -> Column:
+        if not left:
+            return F.struct(before.alias("text"), _changes(changed))
+        name, *rest = left
+        return bound(RULES[name](before), lambda after: step(after, rest, [*changed, F.when(after != before, F.lit(name))]))
+
+    if rules[:1] != ["nfc"]:
+        return step(c, rules, [])
+    both = F.struct(c.alias("raw"), _nfc(c).alias("composed"))
+    return bound(both, lambda x: step(x["composed"], rules[1:], [F.when(x["composed"] != x["raw"], F.lit("nfc"))]))
+
+
 def normalize(c: Column | str, rules=("nfc", *RULES)) -> tuple[Column, Column]:
-    """(text, names of the rules that changed it), each rule applied to what the one before left."""
-    c, changed = _text(c), []
-    for name in rules:
-        after = _nfc(c) if name == "nfc" else RULES[name](c)
-        changed.append(F.when(after != c, F.lit(name)))
-        c = after
-    return c, F.filter(F.array(*changed), lambda x: x.isNotNull())
+    """(text, names of the rules that changed it) of :func:`normalized`."""
+    done = normalized(c, rules)
+    return done["text"], done["rules"]
 
 
 # ---------------------------------------------------------------- synthesis and contamination of texts

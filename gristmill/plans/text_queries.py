@@ -217,8 +217,7 @@ def normalized_documents(spark, sf):
 
 @query("normalize_summary")
 def normalize_summary(spark, sf):
-    text, rules = T.normalize("text")
-    d = _docs(spark, sf).select("text", text.alias("new"), rules.alias("rules"))
+    d = _docs(spark, sf).select("text", T.normalized("text").alias("done")).select("text", F.col("done.text").alias("new"), "done.rules")
     return d.agg(F.count("*").alias("n"), F.count_if(F.size("rules") > 0).alias("n_changed"), F.count_if((F.col("new") == "") & (F.col("text") != "")).alias("n_emptied"), F.round(F.median(T.whitespace_ratio("text")), 6).alias("ws_before"), F.round(F.median(T.whitespace_ratio("new")), 6).alias("ws_after"))
 
 
