@@ -211,8 +211,7 @@ def html_articles(spark, sf):
 
 @query("normalized_documents")
 def normalized_documents(spark, sf):
-    text, rules = T.normalize("text")
-    return _docs(spark, sf).select("doc_id", text.alias("text"), rules.alias("rules"))
+    return _docs(spark, sf).select("doc_id", T.normalized("text").alias("new")).select("doc_id", "new.text", "new.rules")
 
 
 @query("normalize_summary")
