@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gristmill.functions.buffers import pieces
 from gristmill.operators.graph import connected_components
 from gristmill.plans.store import discard, materialize
 
@@ -20,21 +21,25 @@ def hash_family(num_perm: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def signatures(texts: DataFrame, id_col: str = "id", text: str = "text", num_perm: int = 80, prefix_bytes: int | None = None, seed: int = 42) -> DataFrame:
-    """(id, sig array<int>) over the 4-byte windows of each whole text, or of its first ``prefix_bytes`` bytes."""
+    """(id, sig array<int>) over the 4-byte windows of each whole text, or of its first ``prefix_bytes`` bytes. Texts are read as bytes where Arrow holds them."""
     factor, shift = hash_family(num_perm, seed)
 
-    @F.pandas_udf("array<int>")
-    def sign(s: pd.Series) -> pd.Series:
-        def one(t):
-            raw = np.frombuffer((t or "").encode()[:prefix_bytes].ljust(4, b"\0"), np.uint8)
-            low = np.full(num_perm, (1 << 31) - 1, np.uint64)
-            for at in range(0, len(raw) - 3, _WINDOWS_AT_ONCE):
-                cut = raw[at : at + _WINDOWS_AT_ONCE + 3]
-                window = np.unique(np.lib.stride_tricks.sliding_window_view(cut, 4).copy().view("<u4").ravel())
-                low = np.minimum(low, ((window.astype(np.uint64) * factor + shift) >> np.uint64(33)).min(1))
-            return low.astype(np.int32)
-
-        return s.map(one)
+    @F.arrow_udf("array<int>")
+    def sign(column: pa.Array) -> pa.Array:
+        out = np.empty((len(column), num_perm), np.int32)
+        for at, _, data, offsets in pieces(column):
+            for i, (lo, hi) in enumerate(zip(offsets[:-1], offsets[1:])):
+                raw = data[lo:hi][:prefix_bytes]
+                raw = np.pad(raw, (0, max(0, 4 - len(raw))))
+                low = np.full(num_perm, np.uint64((1 << 64) - 1))
+                for cut_at in range(0, len(raw) - 3, _WINDOWS_AT_ONCE):
+                    cut = raw[cut_at : cut_at + _WINDOWS_AT_ONCE + 3]
+                    window = np.unique(np.lib.stride_tricks.sliding_window_view(cut, 4).copy().view("<u4").ravel())
+                    hashed = window.astype(np.uint64) * factor
+                    hashed += shift
+                    low = np.minimum(low, hashed.min(1))
+                out[at + i] = low >> np.uint64(33)
+        return pa.ListArray.from_arrays(np.arange(len(column) + 1, dtype=np.int32) * num_perm, out.ravel())
 
     return texts.select(F.col(id_col).alias("id"), sign(F.col(text)).alias("sig"))
 
